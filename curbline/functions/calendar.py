@@ -1,10 +1,7 @@
-"""Calendar attributes of a date column."""
+"""Calendar attributes of a date column, as Spark SQL expressions in text form."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Holidays that fall on the same date each year (month, day, name).
 FIXED_HOLIDAYS = (
     (1, 1, "New Year's Day"),
@@ -14,40 +11,40 @@ FIXED_HOLIDAYS = (
 )
 
 
-def iso_day_of_week(day: str) -> Column:
+def iso_day_of_week(day: str) -> str:
     """1 = Monday .. 7 = Sunday."""
-    return F.weekday(F.col(day)) + 1
+    return f"weekday({day}) + 1"
 
 
-def is_weekend(day: str) -> Column:
-    return F.weekday(F.col(day)) >= 5
+def is_weekend(day: str) -> str:
+    return f"weekday({day}) >= 5"
 
 
-def year_quarter(day: str) -> Column:
-    return F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string"))
+def year_quarter(day: str) -> str:
+    return f"concat(cast(year({day}) as string), '-Q', cast(quarter({day}) as string))"
 
 
-def holiday_name(day: str) -> Column:
-    named = F.lit(None).cast("string")
-    for month, dom, name in reversed(FIXED_HOLIDAYS):
-        named = F.when((F.month(day) == month) & (F.day(day) == dom), name).otherwise(named)
-    return named
+def holiday_name(day: str) -> str:
+    tests = " ".join(
+        f"when month({day}) = {m} and day({day}) = {d} then \"{name}\"" for m, d, name in FIXED_HOLIDAYS
+    )
+    return f"case {tests} end"
 
 
-def calendar_columns(day: str) -> list[Column]:
-    """Every calendar attribute, as aliased columns to select next to ``day``."""
+def calendar_columns(day: str) -> list[str]:
+    """Every calendar attribute, to select next to ``day``."""
     return [
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.day(day).alias("day_of_month"),
-        iso_day_of_week(day).alias("day_of_week"),
-        F.weekofyear(day).alias("week_of_year"),
-        F.quarter(day).alias("quarter"),
-        F.date_format(day, "yyyy-MM").alias("year_month"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        year_quarter(day).alias("year_quarter"),
-        is_weekend(day).alias("is_weekend"),
-        holiday_name(day).alias("us_holiday_name"),
-        holiday_name(day).isNotNull().alias("is_us_holiday"),
+        f"year({day}) as year",
+        f"month({day}) as month",
+        f"day({day}) as day_of_month",
+        f"{iso_day_of_week(day)} as day_of_week",
+        f"weekofyear({day}) as week_of_year",
+        f"quarter({day}) as quarter",
+        f"date_format({day}, 'yyyy-MM') as year_month",
+        f"date_format({day}, 'EEEE') as day_name",
+        f"date_format({day}, 'MMMM') as month_name",
+        f"{year_quarter(day)} as year_quarter",
+        f"{is_weekend(day)} as is_weekend",
+        f"{holiday_name(day)} as us_holiday_name",
+        f"({holiday_name(day)}) is not null as is_us_holiday",
     ]

@@ -1,4 +1,7 @@
-"""Numeric helpers: decimal rounding, order-independent sums, safe ratios.
+"""Numeric expressions: decimal rounding, order-independent sums, safe ratios.
+
+Every helper returns a Spark SQL expression as text, for ``F.expr``,
+``selectExpr`` or ``where``.
 
 Adding doubles in a different order changes the last bits, so two runs of one
 job can disagree. Money here is summed as whole 1/10**places units in a long,
@@ -7,59 +10,44 @@ which gives the same answer however Spark splits the work.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Values at or beyond this size keep their plain double sum; the rest go through longs.
-WHOLE_UNIT_LIMIT = 1e9
+WHOLE_UNIT_LIMIT = "1e9D"
 # Doubles beyond this have no digits left to round.
-ROUNDABLE_LIMIT = 1e13
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+ROUNDABLE_LIMIT = "1e13D"
 
 
-def round_to(c: Column | str, places: int) -> Column:
+def round_to(x: str, places: int) -> str:
     """Round a double half away from zero, staying in primitive arithmetic.
 
-    ``F.round`` on doubles goes through BigDecimal for every row.
+    ``round`` on doubles goes through BigDecimal for every row.
     """
-    x = _col(c).cast("double")
-    factor = F.lit(10.0**places)
-    near = F.signum(x) * F.floor(F.abs(x) * factor + 0.5).cast("double") / factor
-    return F.when(F.abs(x) < ROUNDABLE_LIMIT, near).otherwise(x)
+    near = f"signum({x}) * cast(floor(abs({x}) * 1e{places}D + 0.5D) as double) / 1e{places}D"
+    return f"case when abs({x}) < {ROUNDABLE_LIMIT} then {near} else {x} end"
 
 
-def units(c: Column | str, places: int) -> Column:
+def units(x: str, places: int) -> str:
     """The value in whole 10**-places units, as a long (half to even)."""
-    return F.rint(_col(c).cast("double") * F.lit(10.0**places)).cast("long")
+    return f"cast(rint(({x}) * 1e{places}D) as bigint)"
 
 
-def exact_sum(c: Column | str, places: int = 4, over=None) -> Column:
+def exact_sum(x: str, places: int = 4, over: str = "") -> str:
     """Sum that does not depend on task order; NULL for an all-NULL group.
 
-    With ``over`` (a WindowSpec) the sum is a window sum.
+    ``over`` is the text of a window clause, for a window sum.
     """
-    x = _col(c).cast("double")
-    ordinary = F.abs(x) < WHOLE_UNIT_LIMIT
-    fixed = F.sum(F.when(ordinary, units(x, places)))
-    loose = F.sum(F.when(~ordinary, x))
-    if over is not None:
-        fixed, loose = fixed.over(over), loose.over(over)
-    scaled = fixed.cast("double") / F.lit(10.0**places)
-    return F.when(loose.isNull(), scaled).otherwise(F.coalesce(scaled, F.lit(0.0)) + loose)
+    window = f" over ({over})" if over else ""
+    whole = f"sum(case when abs({x}) < {WHOLE_UNIT_LIMIT} then {units(x, places)} end){window}"
+    loose = f"sum(case when abs({x}) >= {WHOLE_UNIT_LIMIT} then cast({x} as double) end){window}"
+    scaled = f"cast({whole} as double) / 1e{places}D"
+    return f"case when {loose} is null then {scaled} else coalesce({scaled}, 0D) + {loose} end"
 
 
-def exact_avg(c: Column | str, places: int = 4, over=None) -> Column:
+def exact_avg(x: str, places: int = 4, over: str = "") -> str:
     """Mean of the non-NULL values, built on :func:`exact_sum`."""
-    n = F.count(_col(c))
-    if over is not None:
-        n = n.over(over)
-    return F.when(n > 0, exact_sum(c, places, over) / n)
+    window = f" over ({over})" if over else ""
+    return f"({exact_sum(x, places, over)}) / nullif(count({x}){window}, 0)"
 
 
-def ratio_if_positive(num: Column | str, den: Column | str) -> Column:
+def ratio_if_positive(num: str, den: str) -> str:
     """num / den where den > 0, else NULL."""
-    d = _col(den)
-    return F.when(d > 0, _col(num) / d)
+    return f"case when {den} > 0 then {num} / {den} end"

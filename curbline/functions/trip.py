@@ -1,12 +1,9 @@
-"""Scalar trip features, each a Column built from built-in functions."""
+"""Trip features as Spark SQL expressions in text form."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from curbline.functions.numeric import round_to
 
 # Hour bands (inclusive); any other hour is LATE_BAND.
@@ -21,67 +18,61 @@ LATE_BAND = "late_night"
 AIRPORT_SERVICE_ZONES = ("Airports", "EWR")
 
 
-def minutes_between(start: str, end: str) -> Column:
+def text_list(words: Sequence[str]) -> str:
+    """Words as a list of SQL literals."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
+def minutes_between(start: str, end: str) -> str:
     """Minutes from whole epoch seconds, as a double."""
-    return (F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))) / F.lit(60.0)
+    return f"(unix_timestamp({end}) - unix_timestamp({start})) / 60D"
 
 
-def seconds_between(start: str, end: str) -> Column:
+def seconds_between(start: str, end: str) -> str:
     """Whole elapsed seconds; a part second does not count."""
-    return F.timestamp_diff("SECOND", F.col(start), F.col(end))
+    return f"timestampdiff(SECOND, {start}, {end})"
 
 
-def miles_per_hour(distance: Column, minutes: Column) -> Column:
+def miles_per_hour(distance: str, minutes: str) -> str:
     """NULL where no time passed."""
-    return F.when(minutes > 0, distance / (minutes / F.lit(60.0)))
+    return f"case when {minutes} > 0 then {distance} / ({minutes} / 60D) end"
 
 
-def trip_hash_id(fields: Sequence[str]) -> Column:
+def trip_hash_id(fields: Sequence[str]) -> str:
     """SHA-256 over the text of the fields, NULL fields left out."""
-    return F.sha2(F.concat_ws("|", *[F.col(f).cast("string") for f in fields]), 256)
+    return f"sha2(concat_ws('|', {', '.join(f'cast({f} as string)' for f in fields)}), 256)"
 
 
-def natural_key_hash(fields: Sequence[str], ordinal: str) -> Column:
+def natural_key_hash(fields: Sequence[str], ordinal: str) -> str:
     """SHA-256 over fields and ordinal; NULL as soon as one field is NULL."""
-    parts: list[Column] = []
-    for f in (*fields, ordinal):
-        parts += [F.col(f).cast("string"), F.lit("|")]
-    return F.sha2(F.concat(*parts[:-1]), 256)
+    return f"sha2(concat({', \'|\', '.join(f'cast({f} as string)' for f in (*fields, ordinal))}), 256)"
 
 
-def time_of_day(hour: Column | str) -> Column:
-    h = F.col(hour) if isinstance(hour, str) else hour
-    first, *rest = HOUR_BANDS
-    out = F.when(h.between(first[1], first[2]), first[0])
-    for name, low, high in rest:
-        out = out.when(h.between(low, high), name)
-    return out.otherwise(LATE_BAND)
+def time_of_day(hour: str) -> str:
+    bands = " ".join(f"when {hour} between {low} and {high} then '{name}'" for name, low, high in HOUR_BANDS)
+    return f"case {bands} else '{LATE_BAND}' end"
 
 
-def tip_rate(tip: str, fare: str) -> Column:
+def tip_rate(tip: str, fare: str) -> str:
     """Tip per unit of fare; 0 where the fare is missing or not positive."""
-    return F.when(F.col(fare) > 0, F.col(tip) / F.col(fare)).otherwise(F.lit(0.0))
+    return f"case when {fare} > 0 then {tip} / {fare} else 0D end"
 
 
-def tip_percent(tip: str, fare: str) -> Column:
+def tip_percent(tip: str, fare: str) -> str:
     """Tip as a percentage, two places; NULL where the fare is not positive."""
-    return F.when(F.col(fare) > 0, round_to(F.col(tip) / F.col(fare) * 100, 2))
+    return f"case when {fare} > 0 then {round_to(f'({tip} / {fare} * 100)', 2)} end"
 
 
-def is_weekend_dow(dow: str) -> Column:
+def is_weekend_dow(dow: str) -> str:
     """Weekend from the 1 = Sunday day number."""
-    return F.col(dow).isin(1, 7)
+    return f"{dow} in (1, 7)"
 
 
-def is_airport_zone(service_zone: str) -> Column:
+def is_airport_zone(service_zone: str) -> str:
     """NULL where the zone is unknown, not false."""
-    return F.col(service_zone).isin(*AIRPORT_SERVICE_ZONES)
+    return f"{service_zone} in ({text_list(AIRPORT_SERVICE_ZONES)})"
 
 
-def hour_timestamp(day: str, hour: str) -> Column:
+def hour_timestamp(day: str, hour: str) -> str:
     """The start of an hour as a zone-less timestamp."""
-    return F.timestamp_add("HOUR", F.col(hour), F.col(day).cast("timestamp_ntz")).cast("timestamp_ntz")
-
-
-def month_of(day: str) -> Column:
-    return F.date_format(F.col(day), "yyyy-MM")
+    return f"cast(timestampadd(HOUR, {hour}, cast({day} as timestamp_ntz)) as timestamp_ntz)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,98 +36,94 @@ def normalize_columns(df: DataFrame, feed: str,
     return df.withColumnsRenamed(renames) if renames else df
 
 
-def to_type(field: T.StructField, target: str) -> Column:
+def to_type(field: T.StructField, target: str) -> str:
     """One column brought to a type; unreadable or blank text becomes NULL.
 
     Only text columns get the blank test: wrapping a numeric column in string
     functions would keep its filters from reaching the Parquet scan.
     """
-    c = F.col(f"`{field.name}`")
+    c = f"`{field.name}`"
     if not isinstance(field.dataType, T.StringType):
-        return c if field.dataType.typeName() == target else c.try_cast(target)
-    text = F.nullif(F.trim(c), F.lit(""))
-    if target == "long":
+        return c if field.dataType.simpleString() == target else f"try_cast({c} as {target})"
+    text = f"nullif(trim({c}), '')"
+    if target == "bigint":
         # "1.0" is no long to try_cast, while a long id would lose digits as a double.
-        return F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))
-    return text.try_cast(target)
+        return f"coalesce(try_cast({text} as bigint), try_cast(try_cast({text} as double) as bigint))"
+    return f"try_cast({text} as {target})"
 
 
 def enforce_types(df: DataFrame, types: Mapping[str, str] = STABLE_TYPES) -> DataFrame:
     """Bring the known columns to their types in one projection; others pass through."""
-    return df.select(*[
-        to_type(f, types[f.name]).alias(f.name) if f.name in types else F.col(f"`{f.name}`")
+    return df.selectExpr(*[
+        f"{to_type(f, types[f.name]) if f.name in types else f'`{f.name}`'} as `{f.name}`"
         for f in df.schema.fields
     ])
 
 
-def quality_rules() -> dict[str, Column]:
+def quality_rules() -> dict[str, str]:
     """What a raw row must satisfy, by name; a NULL answer counts as a failure."""
-    distance, total, riders = F.col("trip_distance"), F.col("total_amount"), F.col("passenger_count")
     return {
-        "pickup_datetime_missing": F.col("pickup_datetime").isNotNull(),
-        "dropoff_datetime_missing": F.col("dropoff_datetime").isNotNull(),
-        "pickup_zone_missing": F.col("PULocationID").isNotNull(),
-        "dropoff_zone_missing": F.col("DOLocationID").isNotNull(),
-        "distance_out_of_range": (distance > 0) & (distance < MAX_DISTANCE),
-        "total_out_of_range": (total > 0) & (total < MAX_TOTAL),
-        "passengers_missing": riders.isNotNull(),
-        "passengers_out_of_range": riders.between(MIN_PASSENGERS, MAX_PASSENGERS),
+        "pickup_datetime_missing": "pickup_datetime is not null",
+        "dropoff_datetime_missing": "dropoff_datetime is not null",
+        "pickup_zone_missing": "PULocationID is not null",
+        "dropoff_zone_missing": "DOLocationID is not null",
+        "distance_out_of_range": f"trip_distance > 0 and trip_distance < {MAX_DISTANCE}",
+        "total_out_of_range": f"total_amount > 0 and total_amount < {MAX_TOTAL}",
+        "passengers_missing": "passenger_count is not null",
+        "passengers_out_of_range": f"passenger_count between {MIN_PASSENGERS} and {MAX_PASSENGERS}",
     }
 
 
-def sanity_rules() -> dict[str, Column]:
+def sanity_rules() -> dict[str, str]:
     """What a derived row must satisfy."""
-    minutes, speed = F.col("trip_duration_min"), F.col("speed_mph")
     return {
-        "duration_out_of_range": (minutes > MIN_MINUTES) & (minutes < MAX_MINUTES),
-        "speed_out_of_range": speed.isNull() | (speed < MAX_SPEED),
+        "duration_out_of_range": f"trip_duration_min > {MIN_MINUTES} and trip_duration_min < {MAX_MINUTES}",
+        "speed_out_of_range": f"speed_mph is null or speed_mph < {MAX_SPEED}",
     }
 
 
-def gate(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def gate(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Keep the rows that satisfy every rule."""
-    for rule in rules.values():
-        df = df.where(rule)
-    return df
+    return df.where(" and ".join(f"({rule})" for rule in rules.values()))
 
 
-def reject_breakdown(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+def reject_breakdown(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Rows per first failed rule, ``kept`` for the rest, with their share in percent.
 
     Rules are tried in order, so every row counts once. One scan, and each task
     sends a single row of counts.
     """
+    tests = " ".join(f"when not coalesce({rule}, false) then '{name}'" for name, rule in rules.items())
     names = [*rules, "kept"]
-    verdict = F.lit("kept")
-    for name in reversed(rules):
-        verdict = F.when(F.coalesce(rules[name], F.lit(False)), verdict).otherwise(name)
-    one_pass = df.select(verdict.alias("verdict")).agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        *[F.count_if(F.col("verdict") == n).alias(n) for n in names],
+    one_pass = df.selectExpr(f"case {tests} else 'kept' end as verdict").agg(
+        F.expr("count(1) as all_rows"),
+        *[F.expr(f"count_if(verdict = '{n}') as `{n}`") for n in names],
     )
     pairs = ", ".join(f"'{n}', `{n}`" for n in names)
-    return one_pass.selectExpr(
-        "all_rows", f"stack({len(names)}, {pairs}) AS (reason, row_count)"
-    ).select(
+    return one_pass.selectExpr("all_rows", f"stack({len(names)}, {pairs}) as (reason, row_count)").selectExpr(
         "reason", "row_count",
-        F.when(F.col("all_rows") > 0, F.col("row_count") * 100.0 / F.col("all_rows")).alias("percent"),
+        "case when all_rows > 0 then row_count * 100D / all_rows end as percent",
     )
 
 
-def derive_trip_features(df: DataFrame, feed: str | Column) -> DataFrame:
-    """Duration, speed, calendar parts, feed name and trip id."""
-    minutes = ft.minutes_between("pickup_datetime", "dropoff_datetime")
-    return df.withColumns({
-        "trip_duration_min": minutes,
-        "speed_mph": ft.miles_per_hour(F.col("trip_distance"), minutes),
-        "pickup_date": F.to_date("pickup_datetime"),
-        "pickup_year": F.year("pickup_datetime"),
-        "pickup_month": F.month("pickup_datetime"),
-        "pickup_hour": F.hour("pickup_datetime"),
-        "pickup_dow": F.dayofweek("pickup_datetime"),
-        "vehicle_type": F.lit(feed) if isinstance(feed, str) else feed,
-        "trip_id": ft.trip_hash_id(TRIP_ID_FIELDS),
-    })
+def derive_trip_features(df: DataFrame, feed: str | None = None) -> DataFrame:
+    """Duration, speed, calendar parts, feed name and trip id.
+
+    Without ``feed`` the frame already names it in ``vehicle_type``.
+    """
+    named = [f"'{feed}' as vehicle_type"] if feed else []
+    return df.selectExpr(
+        "*", f"{ft.minutes_between('pickup_datetime', 'dropoff_datetime')} as trip_duration_min", *named
+    ).selectExpr(
+        "*",
+        f"{ft.miles_per_hour('trip_distance', 'trip_duration_min')} as speed_mph",
+        "to_date(pickup_datetime) as pickup_date",
+        "year(pickup_datetime) as pickup_year",
+        "month(pickup_datetime) as pickup_month",
+        "hour(pickup_datetime) as pickup_hour",
+        "dayofweek(pickup_datetime) as pickup_dow",
+        f"{ft.trip_hash_id(TRIP_ID_FIELDS)} as trip_id",
+    )
 
 
 def month_fence(df: DataFrame, year: int, month: int, ts: str = "pickup_datetime") -> DataFrame:
@@ -135,9 +131,7 @@ def month_fence(df: DataFrame, year: int, month: int, ts: str = "pickup_datetime
     first = date(year, month, 1)
     after = date(year + month // 12, month % 12 + 1, 1)
     kind = df.schema[ts].dataType.simpleString()
-    return df.where(
-        (F.col(ts) >= F.lit(str(first)).cast(kind)) & (F.col(ts) < F.lit(str(after)).cast(kind))
-    )
+    return df.where(f"{ts} >= cast('{first}' as {kind}) and {ts} < cast('{after}' as {kind})")
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from curbline.functions import trip as ft
 from curbline.operators.joins import dim_join, small_enough
@@ -21,13 +20,11 @@ def union_evolved(frames: Sequence[DataFrame]) -> DataFrame:
 def zone_role(zones: DataFrame, key: str, prefix: str, service_zone: bool = True) -> DataFrame:
     """The zone table under the names of one role, such as pickup."""
     columns = [
-        F.col("LocationID").cast("long").alias(key),
-        F.col("Borough").alias(f"{prefix}_borough"),
-        F.col("Zone").alias(f"{prefix}_zone"),
+        f"cast(LocationID as bigint) as {key}", f"Borough as {prefix}_borough", f"Zone as {prefix}_zone",
     ]
     if service_zone:
-        columns.append(F.col("service_zone").alias(f"{prefix}_service_zone"))
-    return zones.select(*columns)
+        columns.append(f"service_zone as {prefix}_service_zone")
+    return zones.selectExpr(*columns)
 
 
 def enrich_zones(trips: DataFrame, zones: DataFrame, small: bool | None = None) -> DataFrame:
@@ -46,12 +43,13 @@ def enrich_payment(trips: DataFrame) -> DataFrame:
 
 
 def derive_gold_features(trips: DataFrame) -> DataFrame:
-    return trips.withColumns({
-        "tip_rate": ft.tip_rate("tip_amount", "fare_amount"),
-        "is_airport_trip": ft.is_airport_zone("pickup_service_zone"),
-        "is_weekend": ft.is_weekend_dow("pickup_dow"),
-        "time_of_day": ft.time_of_day("pickup_hour"),
-    })
+    return trips.selectExpr(
+        "*",
+        f"{ft.tip_rate('tip_amount', 'fare_amount')} as tip_rate",
+        f"{ft.is_airport_zone('pickup_service_zone')} as is_airport_trip",
+        f"{ft.is_weekend_dow('pickup_dow')} as is_weekend",
+        f"{ft.time_of_day('pickup_hour')} as time_of_day",
+    )
 
 
 def enrich(trips: DataFrame, zones: DataFrame, small: bool | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_avg, exact_sum, ratio_if_positive
@@ -22,17 +22,18 @@ def hourly_kpis(trips: DataFrame, keys: Sequence[str] = HOUR_KEYS) -> DataFrame:
     Tasks aggregate before the shuffle, the distinct count included: a busy
     hour costs its reducer one row per task and zone, not one per trip.
     """
-    return trips.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        exact_sum("total_amount").alias("total_revenue"),
-        exact_avg("fare_amount").alias("avg_fare"),
-        exact_avg("trip_distance", RATIO_PLACES).alias("avg_distance_mi"),
-        exact_avg("trip_duration_min", RATIO_PLACES).alias("avg_duration_min"),
-        exact_avg("tip_rate", RATIO_PLACES).alias("avg_tip_rate"),
-        F.sum(F.col("is_airport_trip").cast("long")).alias("airport_trips"),
-        F.sum(F.col("is_weekend").cast("long")).alias("weekend_trips"),
-        F.count_distinct("PULocationID").alias("unique_pickup_zones"),
-    )
+    measures = {
+        "trip_count": "count(1)",
+        "total_revenue": exact_sum("total_amount"),
+        "avg_fare": exact_avg("fare_amount"),
+        "avg_distance_mi": exact_avg("trip_distance", RATIO_PLACES),
+        "avg_duration_min": exact_avg("trip_duration_min", RATIO_PLACES),
+        "avg_tip_rate": exact_avg("tip_rate", RATIO_PLACES),
+        "airport_trips": "sum(cast(is_airport_trip as bigint))",
+        "weekend_trips": "sum(cast(is_weekend as bigint))",
+        "unique_pickup_zones": "count(distinct PULocationID)",
+    }
+    return trips.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in measures.items()])
 
 
 def rolling_mean(df: DataFrame, by: Sequence[str], ts: str, measures: Mapping[str, str],
@@ -41,23 +42,28 @@ def rolling_mean(df: DataFrame, by: Sequence[str], ts: str, measures: Mapping[st
 
     Only rows that exist count; gaps are not filled with zeros. Feed it
     aggregates: a group then has at most one row per hour of history, whatever
-    the number of trips.
+    the number of trips. ``measures`` maps new names to the columns averaged.
     """
-    w = Window.partitionBy(*by).orderBy(F.unix_timestamp(ts)).rangeBetween(-seconds, 0)
-    return df.withColumns({new: _mean_over(df, old, w) for new, old in measures.items()})
+    window = (f"partition by {', '.join(by)} order by unix_timestamp({ts}) "
+              f"range between {seconds} preceding and current row")
+    kinds = dict(df.dtypes)
 
+    def mean(name: str) -> str:
+        if kinds[name] in ("bigint", "int"):
+            return f"avg({name}) over ({window})"
+        return exact_avg(name, over=window)
 
-def _mean_over(df: DataFrame, name: str, w) -> Column:
-    if df.schema[name].dataType.typeName() in ("long", "integer"):
-        return F.avg(name).over(w)
-    return exact_avg(name, over=w)
+    return df.selectExpr("*", *[f"{mean(old)} as {new}" for new, old in measures.items()])
 
 
 def with_rolling_week(hourly: DataFrame) -> DataFrame:
     """Hour timestamp, seven-day means per borough and revenue per mile."""
-    stamped = hourly.withColumn("pickup_datetime_hour", hour_timestamp("pickup_date", "pickup_hour"))
-    rolled = rolling_mean(
+    stamped = hourly.selectExpr(
+        "*",
+        f"{hour_timestamp('pickup_date', 'pickup_hour')} as pickup_datetime_hour",
+        f"{ratio_if_positive('avg_fare', 'avg_distance_mi')} as revenue_per_mile",
+    )
+    return rolling_mean(
         stamped, ["pickup_borough"], "pickup_datetime_hour",
         {"rolling_7d_trips": "trip_count", "rolling_7d_revenue": "total_revenue"},
     )
-    return rolled.withColumn("revenue_per_mile", ratio_if_positive("avg_fare", "avg_distance_mi"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions import calendar as cal
@@ -54,10 +54,8 @@ _STAGED: dict[str, tuple[str, str]] = {
 def staging_gate(trips: DataFrame) -> DataFrame:
     """Both clocks present and in order, total not negative."""
     return trips.where(
-        F.col("pickup_datetime").isNotNull()
-        & F.col("dropoff_datetime").isNotNull()
-        & (F.col("pickup_datetime") < F.col("dropoff_datetime"))
-        & (F.col("total_amount") >= 0)
+        "pickup_datetime is not null and dropoff_datetime is not null "
+        "and pickup_datetime < dropoff_datetime and total_amount >= 0"
     )
 
 
@@ -67,18 +65,15 @@ def stage_trips(trips: DataFrame, cab_type: str) -> DataFrame:
     A measure the feed does not carry is NULL, so that all feeds line up.
     """
     have = set(trips.columns)
-
-    def staged(raw: str, kind: str) -> Column:
-        return F.col(raw).cast(kind) if raw in have else F.lit(None).cast(kind)
-
-    return staging_gate(trips).select(
-        *[staged(raw, kind).alias(name) for name, (raw, kind) in _STAGED.items()],
-        F.col("pickup_datetime").alias("pickup_at"),
-        F.col("dropoff_datetime").alias("dropoff_at"),
-        F.to_date("pickup_datetime").alias("pickup_date"),
-        F.hour("pickup_datetime").alias("pickup_hour"),
-        ft.seconds_between("pickup_datetime", "dropoff_datetime").alias("trip_duration_seconds"),
-        F.lit(cab_type).alias("cab_type"),
+    return staging_gate(trips).selectExpr(
+        *[f"cast({raw if raw in have else 'null'} as {kind}) as {name}"
+          for name, (raw, kind) in _STAGED.items()],
+        "pickup_datetime as pickup_at",
+        "dropoff_datetime as dropoff_at",
+        "to_date(pickup_datetime) as pickup_date",
+        "hour(pickup_datetime) as pickup_hour",
+        f"{ft.seconds_between('pickup_datetime', 'dropoff_datetime')} as trip_duration_seconds",
+        f"'{cab_type}' as cab_type",
     )
 
 
@@ -96,7 +91,8 @@ def with_trip_key(trips: DataFrame, large: DataFrame | None = None) -> DataFrame
     Copies keep their rows; the number only tells their keys apart.
     """
     numbered = add_ordinal(trips, NATURAL_KEY, ("total_amount", "tip_amount"), "_ordinal", large)
-    return numbered.withColumn("trip_id", ft.natural_key_hash(NATURAL_KEY, "_ordinal")).drop("_ordinal")
+    kept = [c for c in numbered.columns if c != "_ordinal"]
+    return numbered.selectExpr(*kept, f"{ft.natural_key_hash(NATURAL_KEY, '_ordinal')} as trip_id")
 
 
 def fact_trips(trips: DataFrame) -> DataFrame:
@@ -107,37 +103,38 @@ def fact_trips(trips: DataFrame) -> DataFrame:
                  "payment_type_id", small=True),
         rate_codes(spark), "rate_code_id", small=True,
     )
-    hours = F.nullif(F.col("trip_duration_seconds") / F.lit(3600.0), F.lit(0.0))
-    miles = F.col("trip_distance_miles")
-    return described.withColumns({
-        "payment_type": F.coalesce("payment_type_desc", F.lit("Unknown")),
-        "rate_code": F.coalesce("rate_code_desc", F.lit("Unknown")),
-        "avg_speed_mph": round_to(F.try_divide(miles, hours), 2),
-        "tip_pct": ft.tip_percent("tip_amount", "fare_amount"),
-        "revenue_per_mile": F.when(miles > 0, round_to(F.col("total_amount") / miles, 2)),
-    }).drop("payment_type_id", "payment_type_desc", "rate_code_id", "rate_code_desc")
+    coded = ("payment_type_id", "payment_type_desc", "rate_code_id", "rate_code_desc")
+    speed = "try_divide(trip_distance_miles, trip_duration_seconds / 3600D)"
+    return described.selectExpr(
+        *[c for c in described.columns if c not in coded],
+        "coalesce(payment_type_desc, 'Unknown') as payment_type",
+        "coalesce(rate_code_desc, 'Unknown') as rate_code",
+        f"{round_to(speed, 2)} as avg_speed_mph",
+        f"{ft.tip_percent('tip_amount', 'fare_amount')} as tip_pct",
+        "case when trip_distance_miles > 0 then "
+        f"{round_to('(total_amount / trip_distance_miles)', 2)} end as revenue_per_mile",
+    )
+
+
+def borough_group(borough: str, groups: Mapping[str, str] = BOROUGH_GROUPS) -> str:
+    tests = " ".join(f"when '{name}' then '{label}'" for name, label in groups.items())
+    return f"case {borough} {tests} else '{OTHER_GROUP}' end"
 
 
 def dim_location(seed: DataFrame, groups: Mapping[str, str] = BOROUGH_GROUPS) -> DataFrame:
     """Zones with borough group, airport flag and business-district flag."""
-    group = F.lit(OTHER_GROUP)
-    for borough, name in groups.items():
-        group = F.when(F.col("borough") == borough, name).otherwise(group)
-    airport = F.lit(False)
-    for word in AIRPORT_NAMES:
-        airport = airport | F.lower("zone_name").contains(word)
-    core = (F.col("borough") == "Manhattan") & (F.col("service_zone") == "Yellow Zone")
-    return seed.select(
+    airport = " or ".join(f"contains(lower(zone_name), '{word}')" for word in AIRPORT_NAMES)
+    return seed.selectExpr(
         "location_id", "zone_name", "borough", "service_zone",
-        group.alias("borough_group"),
-        F.coalesce(airport, F.lit(False)).alias("is_airport"),
-        F.coalesce(core, F.lit(False)).alias("is_manhattan_cbd"),
+        f"{borough_group('borough', groups)} as borough_group",
+        f"coalesce({airport}, false) as is_airport",
+        "coalesce(borough = 'Manhattan' and service_zone = 'Yellow Zone', false) as is_manhattan_cbd",
     )
 
 
 def dim_datetime(spine: DataFrame, day: str = "date_day") -> DataFrame:
     """Calendar attributes per day, in date order."""
-    return spine.select(day, *cal.calendar_columns(day)).orderBy(day)
+    return spine.selectExpr(day, *cal.calendar_columns(day)).orderBy(day)
 
 
 MART_KEYS = ("pickup_date", "pickup_hour", "cab_type", "borough_group", "is_airport",
@@ -155,30 +152,36 @@ def mart_hourly(fact: DataFrame, locations: DataFrame, days: DataFrame,
     """
     placed = dim_join(
         fact,
-        locations.select(F.col("location_id").alias("pickup_location_id"), "borough_group",
-                         "is_airport", "is_manhattan_cbd"),
+        locations.selectExpr("location_id as pickup_location_id", "borough_group", "is_airport",
+                             "is_manhattan_cbd"),
         "pickup_location_id", small_locations,
     )
-    seconds = F.col("trip_duration_seconds")
-    grouped = placed.groupBy(*MART_KEYS).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum(F.col("passenger_count").cast("long")).alias("total_passengers"),
-        round_to(exact_sum("trip_distance_miles", 6), 2).alias("total_distance_miles"),
-        round_to(exact_avg("trip_distance_miles", 6), 3).alias("avg_distance_miles"),
-        round_to(exact_avg(seconds, 0) / 60.0, 2).alias("avg_duration_minutes"),
-        round_to(F.approx_percentile(seconds, 0.5) / F.lit(60.0), 2).alias("median_duration_minutes"),
-        round_to(exact_avg("avg_speed_mph"), 2).alias("avg_speed_mph"),
-        round_to(exact_sum("fare_amount"), 2).alias("total_fare"),
-        round_to(exact_sum("tip_amount"), 2).alias("total_tips"),
-        round_to(exact_sum("total_amount"), 2).alias("total_revenue"),
-        round_to(exact_avg("total_amount"), 2).alias("avg_revenue_per_trip"),
-        round_to(exact_avg("tip_pct"), 2).alias("avg_tip_pct"),
-        round_to(exact_sum("congestion_surcharge"), 2).alias("total_congestion_surcharge"),
-        round_to(exact_sum("airport_fee"), 2).alias("total_airport_fee"),
-        F.count_if(F.col("payment_type") == "Credit card").alias("credit_card_trips"),
-        F.count_if(F.col("payment_type") == "Cash").alias("cash_trips"),
-        round_to(exact_sum("total_amount") / F.count(F.lit(1)), 2).alias("revenue_per_trip"),
-    )
+    measures = {
+        "trip_count": "count(1)",
+        "total_passengers": "sum(cast(passenger_count as bigint))",
+        "total_distance_miles": exact_sum("trip_distance_miles", 6),
+        "avg_distance_miles": exact_avg("trip_distance_miles", 6),
+        "avg_duration_minutes": f"({exact_avg('trip_duration_seconds', 0)}) / 60D",
+        "median_duration_minutes": "approx_percentile(trip_duration_seconds, 0.5D) / 60D",
+        "avg_speed_mph": exact_avg("avg_speed_mph"),
+        "total_fare": exact_sum("fare_amount"),
+        "total_tips": exact_sum("tip_amount"),
+        "total_revenue": exact_sum("total_amount"),
+        "avg_revenue_per_trip": exact_avg("total_amount"),
+        "avg_tip_pct": exact_avg("tip_pct"),
+        "total_congestion_surcharge": exact_sum("congestion_surcharge"),
+        "total_airport_fee": exact_sum("airport_fee"),
+        "credit_card_trips": "count_if(payment_type = 'Credit card')",
+        "cash_trips": "count_if(payment_type = 'Cash')",
+        "revenue_per_trip": f"({exact_sum('total_amount')}) / count(1)",
+    }
+    whole = ("trip_count", "total_passengers", "credit_card_trips", "cash_trips")
+    grouped = placed.groupBy(*MART_KEYS).agg(*[F.expr(f"{sql} as {name}") for name, sql in measures.items()])
+    rounded = grouped.selectExpr(*MART_KEYS, *[
+        name if name in whole
+        else f"{round_to(name, 3 if name == 'avg_distance_miles' else 2)} as {name}"
+        for name in measures
+    ])
     # One row per calendar day, whatever the number of trips.
-    calendar = days.select(F.col("date_day").alias("pickup_date"), *CALENDAR_ATTRIBUTES)
-    return dim_join(grouped, calendar, "pickup_date", small=True)
+    calendar = days.selectExpr("date_day as pickup_date", *CALENDAR_ATTRIBUTES)
+    return dim_join(rounded, calendar, "pickup_date", small=True)

@@ -11,11 +11,11 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_avg
-from curbline.operators.joins import orphans
+from curbline.functions.trip import text_list
 from curbline.schema import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_differences
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
@@ -71,45 +71,40 @@ def documented_checks(month: date) -> tuple[Check, ...]:
 
 def dq_view(fact: DataFrame) -> DataFrame:
     """The enriched fact under the names the suite checks."""
-    return fact.select(
-        "trip_id", "pickup_date",
-        F.col("pickup_datetime").alias("pickup_at"),
-        F.col("dropoff_datetime").alias("dropoff_at"),
-        F.col("vehicle_type").alias("cab_type"),
-        F.col("PULocationID").alias("pickup_location_id"),
-        F.col("DOLocationID").alias("dropoff_location_id"),
-        "fare_amount",
-        (F.col("trip_duration_min") * 60).cast("long").alias("trip_duration_seconds"),
-        "total_amount",
-        F.col("payment_type_name").alias("payment_type"),
-        "passenger_count",
+    return fact.selectExpr(
+        "trip_id", "pickup_date", "pickup_datetime as pickup_at", "dropoff_datetime as dropoff_at",
+        "vehicle_type as cab_type", "PULocationID as pickup_location_id",
+        "DOLocationID as dropoff_location_id", "fare_amount",
+        "cast(trip_duration_min * 60 as bigint) as trip_duration_seconds",
+        "total_amount", "payment_type_name as payment_type", "passenger_count",
     )
 
 
 def one_day(df: DataFrame, day: date | str, column: str = "pickup_date") -> DataFrame:
-    return df.where(F.col(column) == F.lit(str(day)).cast("date"))
+    return df.where(f"{column} = date '{day}'")
 
 
-def _within(c: Column, low: float | None, high: float | None) -> Column:
-    ok = F.lit(True)
-    if low is not None:
-        ok = ok & (c >= low)
-    if high is not None:
-        ok = ok & (c <= high)
-    return ok
+def _within(x: str, low: float | None, high: float | None) -> str:
+    sides = [f"{x} >= {low}" for _ in (1,) if low is not None]
+    sides += [f"{x} <= {high}" for _ in (1,) if high is not None]
+    return " and ".join(sides) or "true"
 
 
-def _bad(check: Check) -> Column:
+def _literals(values: Sequence) -> str:
+    return text_list(values) if isinstance(values[0], str) else ", ".join(str(v) for v in values)
+
+
+def _bad(check: Check) -> str:
     """True for a row that fails a row-level check; NULL values pass all but not_null."""
-    c = F.col(check.column)
+    c = f"`{check.column}`"
     if check.kind == "not_null":
-        return c.isNull()
+        return f"{c} is null"
     if check.kind == "between":
-        return ~_within(c, check.low, check.high)
+        return f"not ({_within(c, check.low, check.high)})"
     if check.kind == "in_set":
-        return ~c.isin(*check.values)
+        return f"{c} not in ({_literals(check.values)})"
     if check.kind == "in_month":
-        return F.trunc(c, "month") != F.lit(check.month)
+        return f"trunc({c}, 'month') <> date '{check.month}'"
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
@@ -119,72 +114,70 @@ def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     The wanted share (``mostly``) is of the non-NULL values; a column without
     any passes.
     """
-    measures: list[Column] = [F.count(F.lit(1)).alias("all_rows")]
+    measures = ["count(1) as all_rows"]
     for i, check in enumerate(checks):
         if check.kind == "mean_between":
-            measures.append(exact_avg(check.column).alias(f"mean_{i}"))
+            measures.append(f"{exact_avg(f'`{check.column}`')} as mean_{i}")
         elif check.kind != "row_count":
-            measures.append(F.count_if(_bad(check)).alias(f"bad_{i}"))
-            measures.append(F.count(check.column).alias(f"known_{i}"))
-    results = F.array(*[_result(i, check) for i, check in enumerate(checks)])
-    return df.agg(*measures).select(F.explode(results).alias("r")).select("r.*")
+            measures.append(f"count_if({_bad(check)}) as bad_{i}")
+            measures.append(f"count(`{check.column}`) as known_{i}")
+    results = ", ".join(_result(i, check) for i, check in enumerate(checks))
+    return df.agg(*[F.expr(m) for m in measures]).selectExpr(f"inline(array({results}))")
 
 
-def _result(i: int, check: Check) -> Column:
-    rows = F.col("all_rows")
-    none_long, none_double = F.lit(None).cast("long"), F.lit(None).cast("double")
+def _result(i: int, check: Check) -> str:
+    """The result row of one check, as the text of a struct."""
+    observed, bad, percent = "cast(null as double)", "cast(null as bigint)", "cast(null as double)"
     if check.kind == "row_count":
-        observed, bad, percent = rows.cast("double"), none_long, none_double
-        success = _within(rows, check.low, check.high)
+        observed = "cast(all_rows as double)"
+        success = _within("all_rows", check.low, check.high)
     elif check.kind == "mean_between":
-        observed, bad, percent = F.col(f"mean_{i}"), none_long, none_double
-        success = F.coalesce(_within(observed, check.low, check.high), F.lit(False))
+        observed = f"mean_{i}"
+        success = f"coalesce({_within(observed, check.low, check.high)}, false)"
     else:
-        base = rows if check.kind == "not_null" else F.col(f"known_{i}")
-        observed, bad = none_double, F.col(f"bad_{i}")
-        percent = F.when(base > 0, bad * 100.0 / base)
-        share = F.when(base > 0, (base - bad) / base).otherwise(1.0)
-        success = share >= check.mostly
-    return F.struct(
-        F.lit(check.check_id).alias("check_id"), F.lit(check.kind).alias("check_type"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        F.lit(check.severity).alias("severity"), success.alias("success"),
-        observed.alias("observed_value"), rows.alias("element_count"),
-        bad.alias("unexpected_count"), percent.alias("unexpected_percent"),
+        base = "all_rows" if check.kind == "not_null" else f"known_{i}"
+        bad = f"bad_{i}"
+        percent = f"case when {base} > 0 then {bad} * 100D / {base} end"
+        success = f"coalesce(try_divide({base} - {bad}, {base}) >= {check.mostly}D, true)"
+    column = f"'{check.column}'" if check.column else "cast(null as string)"
+    return (
+        f"named_struct('check_id', '{check.check_id}', 'check_type', '{check.kind}', "
+        f"'column_name', {column}, 'severity', '{check.severity}', 'success', {success}, "
+        f"'observed_value', {observed}, 'element_count', all_rows, 'unexpected_count', {bad}, "
+        f"'unexpected_percent', {percent})"
     )
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], check_id: str, severity: str = CRITICAL) -> DataFrame:
     """Rows whose key occurs more than once; NULL keys are left out."""
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    per_key = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(
+        F.expr("count(1) as n")
+    )
     total = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("bad"),
+        F.expr("coalesce(sum(n), 0) as rows"),
+        F.expr("coalesce(sum(case when n > 1 then n end), 0) as bad"),
     )
-    return total.select(*_shuffled_result(check_id, "unique", ",".join(keys), severity))
+    return total.selectExpr(*_shuffled_result(check_id, "unique", ",".join(keys), severity))
 
 
 def check_reference(child: DataFrame, key: str, parent: DataFrame, parent_key: str, check_id: str,
                     severity: str = CRITICAL) -> DataFrame:
-    """Rows whose key is absent from the parent."""
-    found = orphans(child, key, parent, parent_key).agg(
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad")
+    """Rows whose key is absent from the parent, counted per key before the join."""
+    per_key = child.where(f"{key} is not null").groupBy(key).agg(F.expr("count(1) as n"))
+    known = parent.selectExpr(f"{parent_key} as {key}", "true as _known").distinct()
+    total = per_key.join(known, key, "left").agg(
+        F.expr("coalesce(sum(n), 0) as rows"),
+        F.expr("coalesce(sum(case when _known is null then n end), 0) as bad"),
     )
-    known = child.agg(F.count(key).alias("rows"))
-    # Two frames of one row each.
-    both = found.withColumn("_k", F.lit(1)).join(known.withColumn("_k", F.lit(1)), "_k")
-    return both.select(*_shuffled_result(check_id, "relationship", key, severity))
+    return total.selectExpr(*_shuffled_result(check_id, "relationship", key, severity))
 
 
-def _shuffled_result(check_id: str, kind: str, column: str, severity: str) -> list[Column]:
-    rows, bad = F.col("rows"), F.col("bad")
+def _shuffled_result(check_id: str, kind: str, column: str, severity: str) -> list[str]:
     return [
-        F.lit(check_id).alias("check_id"), F.lit(kind).alias("check_type"),
-        F.lit(column).alias("column_name"), F.lit(severity).alias("severity"),
-        (bad == 0).alias("success"), F.lit(None).cast("double").alias("observed_value"),
-        rows.alias("element_count"), bad.alias("unexpected_count"),
-        F.when(rows > 0, bad * 100.0 / rows).alias("unexpected_percent"),
+        f"'{check_id}' as check_id", f"'{kind}' as check_type", f"'{column}' as column_name",
+        f"'{severity}' as severity", "bad = 0 as success", "cast(null as double) as observed_value",
+        "rows as element_count", "bad as unexpected_count",
+        "case when rows > 0 then bad * 100D / rows end as unexpected_percent",
     ]
 
 
@@ -194,35 +187,34 @@ def union_results(frames: Sequence[DataFrame]) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
+    return df.groupBy(*keys).agg(F.expr("count(1) as row_count")).where("row_count > 1")
 
 
 def summary(results: DataFrame) -> DataFrame:
     """Totals and the failed check ids by severity; one row."""
-    failed = ~F.col("success")
-
-    def ids(severity: str) -> Column:
-        hit = F.when(failed & (F.col("severity") == severity), F.col("check_id"))
-        return F.array_join(F.array_sort(F.collect_list(hit)), ",")
+    def ids(severity: str) -> str:
+        hit = f"case when not success and severity = '{severity}' then check_id end"
+        return f"array_join(array_sort(collect_list({hit})), ',')"
 
     return results.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("success")).alias("passed"),
-        F.count_if(failed).alias("failed"),
-        ids(CRITICAL).alias("critical_failures"),
-        ids(WARNING).alias("warnings"),
+        F.expr("count(1) as total"),
+        F.expr("count_if(success) as passed"),
+        F.expr("count_if(not success) as failed"),
+        F.expr(f"{ids(CRITICAL)} as critical_failures"),
+        F.expr(f"{ids(WARNING)} as warnings"),
     )
 
 
 def gate_decision(results: DataFrame) -> DataFrame:
     """``quarantine`` when a critical check failed or there were no rows, else ``pass``."""
     counted = results.agg(
-        F.count_if(~F.col("success") & (F.col("severity") == CRITICAL)).alias("critical_failed"),
-        F.count_if(~F.col("success") & (F.col("severity") == WARNING)).alias("warnings_failed"),
-        F.coalesce(F.max("element_count"), F.lit(0)).alias("rows"),
+        F.expr(f"count_if(not success and severity = '{CRITICAL}') as critical_failed"),
+        F.expr(f"count_if(not success and severity = '{WARNING}') as warnings_failed"),
+        F.expr("coalesce(max(element_count), 0) as rows"),
+    )
+    return counted.selectExpr(
+        "*", "case when critical_failed > 0 or rows = 0 then 'quarantine' else 'pass' end as decision"
     )
-    stop = (F.col("critical_failed") > 0) | (F.col("rows") == 0)
-    return counted.withColumn("decision", F.when(stop, "quarantine").otherwise("pass"))
 
 
 def warning_metrics(results: DataFrame, checks: Sequence[Check], env: str, partition: str,
@@ -244,17 +236,15 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Row count, NULL count and NULL rate per column, in one pass."""
     columns = list(columns or df.columns)
     counted = df.agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(columns)],
+        F.expr("count(1) as row_count"),
+        *[F.expr(f"count_if(`{c}` is null) as null_{i}") for i, c in enumerate(columns)],
     )
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"null_{i}").alias("null_count"))
-        for i, c in enumerate(columns)
-    ])
-    return counted.select("all_rows", F.explode(rows).alias("p")).select(
-        "p.column_name", F.col("all_rows").alias("row_count"), "p.null_count",
-        F.when(F.col("all_rows") > 0, F.col("p.null_count") / F.col("all_rows").cast("double"))
-        .otherwise(1.0).alias("null_rate"),
+    pairs = ", ".join(f"'{c}', null_{i}" for i, c in enumerate(columns))
+    return counted.selectExpr(
+        "row_count", f"stack({len(columns)}, {pairs}) as (column_name, null_count)"
+    ).selectExpr(
+        "column_name", "row_count", "null_count",
+        "case when row_count > 0 then null_count / row_count else 1D end as null_rate",
     )
 
 
@@ -276,39 +266,33 @@ def file_contract(df: DataFrame, feed: str | None, min_rows: int = MIN_FILE_ROWS
     missing, unexpected = column_differences(df, feed, REQUIRED_COLUMNS, OPTIONAL_COLUMNS)
     present = [c for c in REQUIRED_COLUMNS[feed] if c not in missing]
     counted = df.agg(
-        F.count(F.lit(1)).alias("all_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(present)],
+        F.expr("count(1) as all_rows"),
+        *[F.expr(f"count_if(`{c}` is null) as null_{i}") for i, c in enumerate(present)],
     )
-    rows, always = F.col("all_rows"), F.lit(True)
-
-    def finding(kind: str, column: str | None, severity: str, applies: Column) -> Column:
-        return F.struct(
-            F.lit(feed).alias("feed"), F.lit(kind).alias("finding"),
-            F.lit(column).cast("string").alias("column_name"), F.lit(severity).alias("severity"),
-            applies.alias("applies"),
-        )
-
-    found = [finding("missing_column", c, CRITICAL, always) for c in missing]
-    found += [finding("unexpected_column", c, WARNING, always) for c in unexpected]
-    found.append(finding("too_few_rows", None, CRITICAL, rows < min_rows))
+
+    def finding(kind: str, column: str | None, severity: str, applies: str = "true") -> str:
+        name = f"'{column}'" if column else "cast(null as string)"
+        return (f"named_struct('feed', '{feed}', 'finding', '{kind}', 'column_name', {name}, "
+                f"'severity', '{severity}', 'applies', {applies})")
+
+    found = [finding("missing_column", c, CRITICAL) for c in missing]
+    found += [finding("unexpected_column", c, WARNING) for c in unexpected]
+    found.append(finding("too_few_rows", None, CRITICAL, f"all_rows < {min_rows}"))
+    # A file without rows counts as all NULL.
     found += [
-        # A file without rows counts as all NULL.
         finding("mostly_null", c, CRITICAL,
-                (rows == 0) | (F.col(f"null_{i}") / F.greatest(rows, F.lit(1)) > max_null_rate))
+                f"coalesce(try_divide(null_{i}, all_rows) > {max_null_rate}D, true)")
         for i, c in enumerate(present)
     ]
-    return counted.select(F.explode(F.array(*found)).alias("f")).where("f.applies").select(
-        "f.feed", "f.finding", "f.column_name", "f.severity"
-    )
+    return counted.selectExpr(f"inline(array({', '.join(found)}))").where("applies").drop("applies")
 
 
 def contract_status(findings: DataFrame) -> DataFrame:
-    """``ok`` or ``quarantine`` for a raw file, with its finding count."""
+    """``ok`` or ``quarantine`` for a raw file, with its finding counts."""
     return findings.agg(
-        F.when(F.count_if(F.col("severity") == CRITICAL) > 0, "quarantine").otherwise("ok").alias("status"),
-        F.count_if(F.col("severity") == CRITICAL).alias("issues"),
-        F.count_if(F.col("severity") == WARNING).alias("warnings"),
-    )
+        F.expr(f"count_if(severity = '{CRITICAL}') as issues"),
+        F.expr(f"count_if(severity = '{WARNING}') as warnings"),
+    ).selectExpr("case when issues > 0 then 'quarantine' else 'ok' end as status", "issues", "warnings")
 
 
 # Hours after which a source counts as late.
@@ -318,14 +302,12 @@ WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 25, 49
 def freshness(df: DataFrame, loaded_at: str, as_of: datetime | str, source: str,
               warn_hours: int = WARN_AFTER_HOURS, error_hours: int = ERROR_AFTER_HOURS) -> DataFrame:
     """Age of the newest row against the warning and error limits; no rows is an error."""
-    newest = df.agg(F.max(loaded_at).cast("timestamp_ntz").alias("newest"))
-    now = F.lit(str(as_of)).cast("timestamp_ntz")
-    aged = newest.withColumn("age_seconds", F.timestamp_diff("SECOND", F.col("newest"), now))
-    age = F.col("age_seconds")
-    return aged.select(
-        F.lit(source).alias("source"), "newest", "age_seconds",
-        F.when(age.isNull() | (age > error_hours * 3600), "error")
-        .when(age > warn_hours * 3600, "warn").otherwise("pass").alias("status"),
+    return df.agg(F.expr(f"cast(max({loaded_at}) as timestamp_ntz) as newest")).selectExpr(
+        "*", f"timestampdiff(SECOND, newest, cast('{as_of}' as timestamp_ntz)) as age_seconds"
+    ).selectExpr(
+        f"'{source}' as source", "newest", "age_seconds",
+        f"case when age_seconds is null or age_seconds > {error_hours * 3600} then 'error' "
+        f"when age_seconds > {warn_hours * 3600} then 'warn' else 'pass' end as status",
     )
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.functions.numeric import exact_sum
+from curbline.functions.numeric import exact_avg
 
 # Fixed value: most rows taken for a spot check.
 SAMPLE_ROWS = 500_000
@@ -44,8 +44,9 @@ def scale_to_unit(df: DataFrame, measure: str, name: str) -> DataFrame:
 def trailing_mean(df: DataFrame, by: Sequence[str], order: str, measure: str, name: str,
                   periods: int = 7) -> DataFrame:
     """Mean over the last ``periods`` rows, fewer at the start."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(1 - periods, 0)
-    return df.withColumn(name, exact_sum(measure, over=w) / F.count(measure).over(w))
+    window = (f"partition by {', '.join(by)} order by {order} "
+              f"rows between {periods - 1} preceding and current row")
+    return df.selectExpr("*", f"{exact_avg(measure, over=window)} as {name}")
 
 
 def nearest_rank(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:

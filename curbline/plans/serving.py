@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbline.functions.calendar import iso_day_of_week
 from curbline.functions.numeric import exact_avg, exact_sum, round_to
+from curbline.functions.trip import text_list
+from curbline.operators.clean import month_fence
 from curbline.operators.kpi import RATIO_PLACES
-from curbline.operators.marts import BOROUGH_GROUPS, OTHER_GROUP
+from curbline.operators.marts import borough_group
+from curbline.operators.quality import one_day
 from curbline.operators.ranking import (
     nearest_rank,
     scale_to_unit,
@@ -30,9 +34,9 @@ def filtered(df: DataFrame, start: date | str | None = None, end: date | str | N
              feed_column: str = "cab_type", borough_column: str = "borough_group") -> DataFrame:
     """The dashboard filters: dates (both included), feeds, boroughs. None means all."""
     if start is not None:
-        df = df.where(F.col("pickup_date") >= F.lit(str(start)).cast("date"))
+        df = df.where(f"pickup_date >= date '{start}'")
     if end is not None:
-        df = df.where(F.col("pickup_date") <= F.lit(str(end)).cast("date"))
+        df = df.where(f"pickup_date <= date '{end}'")
     if feeds:
         df = df.where(F.col(feed_column).isin(*feeds))
     if boroughs:
@@ -40,53 +44,58 @@ def filtered(df: DataFrame, start: date | str | None = None, end: date | str | N
     return df
 
 
+def in_year(df: DataFrame, year: int) -> DataFrame:
+    """One year as a date range, which partition pruning and scan statistics can use."""
+    return filtered(df, f"{year}-01-01", f"{year}-12-31")
+
+
 def with_borough_group(kpi: DataFrame, borough: str = "pickup_borough") -> DataFrame:
-    group = F.lit(OTHER_GROUP)
-    for name, label in BOROUGH_GROUPS.items():
-        group = F.when(F.col(borough) == name, label).otherwise(group)
-    return kpi.withColumn("borough_group", group)
+    return kpi.selectExpr("*", f"{borough_group(borough)} as borough_group")
+
 
+def grouped(df: DataFrame, *keys: str, **measures: str) -> DataFrame:
+    """Measures, given as SQL text by name, per key."""
+    return df.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in measures.items()])
 
-def _trips() -> Column:
-    return F.sum("trip_count").alias("trips")
+
+TRIPS = "sum(trip_count)"
 
 
 def monthly_volume(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("year_month").agg(_trips())
+    return grouped(mart, "year_month", trips=TRIPS)
 
 
 def avg_fare_by_group(kpi: DataFrame, weighted: bool = False) -> DataFrame:
     mean = exact_avg("avg_fare", RATIO_PLACES)
     if weighted:
-        mean = exact_sum(F.col("avg_fare") * F.col("trip_count"), RATIO_PLACES) / F.sum("trip_count")
-    return with_borough_group(kpi).groupBy("borough_group").agg(mean.alias("avg_fare"))
+        mean = f"({exact_sum('(avg_fare * trip_count)', RATIO_PLACES)}) / sum(trip_count)"
+    return grouped(with_borough_group(kpi), "borough_group", avg_fare=mean)
 
 
 def total_trips(mart: DataFrame) -> DataFrame:
-    return mart.agg(_trips())
+    return grouped(mart, trips=TRIPS)
 
 
 def total_revenue(mart: DataFrame) -> DataFrame:
-    return mart.agg(exact_sum("total_revenue").alias("revenue"))
+    return grouped(mart, revenue=exact_sum("total_revenue"))
 
 
 def volume_heatmap(mart: DataFrame) -> DataFrame:
     """Trips per hour and day name, scaled over all cells."""
-    return scale_to_unit(mart.groupBy("pickup_hour", "day_name").agg(_trips()), "trips", "intensity")
+    return scale_to_unit(grouped(mart, "pickup_hour", "day_name", trips=TRIPS), "trips", "intensity")
 
 
 def fare_heatmap(kpi: DataFrame) -> DataFrame:
     """Mean fare per hour and day of week."""
-    cells = kpi.groupBy("pickup_hour", (F.weekday("pickup_date") + 1).alias("day_of_week"))
-    return cells.agg(exact_avg("avg_fare", RATIO_PLACES).alias("avg_fare"))
+    dated = kpi.selectExpr("pickup_hour", f"{iso_day_of_week('pickup_date')} as day_of_week", "avg_fare")
+    return grouped(dated, "pickup_hour", "day_of_week", avg_fare=exact_avg("avg_fare", RATIO_PLACES))
 
 
 def revenue_by_group(mart: DataFrame, kpi: DataFrame, k: int = 20) -> DataFrame:
     """Borough groups by revenue with four measures; mean fare comes from the KPIs."""
-    measured = mart.groupBy("borough_group").agg(
-        _trips(),
-        exact_sum("total_revenue").alias("revenue"),
-        exact_avg("avg_duration_minutes").alias("avg_duration"),
+    measured = grouped(
+        mart, "borough_group", trips=TRIPS, revenue=exact_sum("total_revenue"),
+        avg_duration=exact_avg("avg_duration_minutes"),
     )
     # A handful of groups on either side.
     joined = measured.join(F.broadcast(avg_fare_by_group(kpi)), "borough_group", "left")
@@ -94,126 +103,114 @@ def revenue_by_group(mart: DataFrame, kpi: DataFrame, k: int = 20) -> DataFrame:
 
 
 def daily_duration(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("pickup_date").agg(exact_avg("avg_duration_minutes").alias("avg_duration"))
+    return grouped(mart, "pickup_date", avg_duration=exact_avg("avg_duration_minutes"))
 
 
 def daily_speed(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("pickup_date").agg(exact_avg("avg_speed_mph").alias("avg_speed"))
+    return grouped(mart, "pickup_date", avg_speed=exact_avg("avg_speed_mph"))
 
 
 def payment_share(fact: DataFrame, payment: str = "payment_type") -> DataFrame:
-    return share_of_total(fact.groupBy(payment).agg(F.count(F.lit(1)).alias("trips")), "trips", "share")
+    return share_of_total(grouped(fact, payment, trips="count(1)"), "trips", "share")
 
 
 def airport_split(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("is_airport").agg(_trips())
+    return grouped(mart, "is_airport", trips=TRIPS)
 
 
 def weekend_split(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("is_weekend").agg(_trips())
+    return grouped(mart, "is_weekend", trips=TRIPS)
 
 
 def revenue_per_mile_by_group(kpi: DataFrame) -> DataFrame:
     """Mean revenue per mile, largest first."""
-    out = with_borough_group(kpi).groupBy("borough_group").agg(
-        exact_avg("revenue_per_mile", RATIO_PLACES).alias("revenue_per_mile")
+    out = grouped(
+        with_borough_group(kpi), "borough_group",
+        revenue_per_mile=exact_avg("revenue_per_mile", RATIO_PLACES),
     )
     return out.orderBy(F.desc("revenue_per_mile"), "borough_group")
 
 
 def big_numbers(kpi: DataFrame) -> DataFrame:
     """Means of the hourly means: fare, distance, duration."""
-    return kpi.agg(
-        exact_avg("avg_fare", RATIO_PLACES).alias("avg_fare"),
-        exact_avg("avg_distance_mi", RATIO_PLACES).alias("avg_distance_mi"),
-        exact_avg("avg_duration_min", RATIO_PLACES).alias("avg_duration_min"),
-    )
+    names = ("avg_fare", "avg_distance_mi", "avg_duration_min")
+    return grouped(kpi, **{n: exact_avg(n, RATIO_PLACES) for n in names})
 
 
 def trips_by_hour(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("pickup_hour").agg(_trips()).orderBy("pickup_hour")
+    return grouped(mart, "pickup_hour", trips=TRIPS).orderBy("pickup_hour")
 
 
 def daily_revenue_trend(mart: DataFrame, periods: int = 7) -> DataFrame:
     """Revenue per day and feed with its trailing mean; one row per feed and day."""
-    daily = mart.groupBy("cab_type", "pickup_date").agg(exact_sum("total_revenue").alias("revenue"))
+    daily = grouped(mart, "cab_type", "pickup_date", revenue=exact_sum("total_revenue"))
     return trailing_mean(daily, ["cab_type"], "pickup_date", "revenue", "rolling_revenue", periods)
 
 
 def feed_share_by_borough(fact: DataFrame, borough: str = "pickup_borough",
                           feed: str = "vehicle_type") -> DataFrame:
-    counted = fact.groupBy(borough, feed).agg(F.count(F.lit(1)).alias("trips"))
+    counted = grouped(fact, borough, feed, trips="count(1)")
     return share_of_total(counted, "trips", "share", [borough])
 
 
 def top_zones(fact: DataFrame, zone: str, k: int = 15) -> DataFrame:
-    return top_k(fact.groupBy(zone).agg(F.count(F.lit(1)).alias("trips")), "trips", k, [zone])
+    return top_k(grouped(fact, zone, trips="count(1)"), "trips", k, [zone])
 
 
 def avg_fare_of(fact: DataFrame, feed: str, year: int, month: int, feed_column: str = "vehicle_type",
                 ) -> DataFrame:
     """Mean fare of one feed in one month."""
-    picked = fact.where(
-        (F.col(feed_column) == feed) & (F.year("pickup_date") == year) & (F.month("pickup_date") == month)
-    )
-    return picked.agg(exact_avg("fare_amount").alias("avg_fare"), F.count(F.lit(1)).alias("trips"))
+    picked = month_fence(fact.where(F.col(feed_column) == feed), year, month, "pickup_date")
+    return grouped(picked, avg_fare=exact_avg("fare_amount"), trips="count(1)")
 
 
 def busiest_zone(fact: DataFrame, year: int, quarter: int, zone: str = "pickup_zone") -> DataFrame:
     """The zone with the most trips in a quarter."""
-    picked = fact.where((F.year("pickup_date") == year) & (F.quarter("pickup_date") == quarter))
+    picked = in_year(fact, year).where(f"quarter(pickup_date) = {quarter}")
     return top_zones(picked, zone, 1)
 
 
 def credit_cash_share(fact: DataFrame, year: int, feed: str, payment: str = "payment_type_name",
                       feed_column: str = "vehicle_type") -> DataFrame:
     """Percent of a feed's trips in a year paid by card and in cash."""
-    picked = fact.where((F.year("pickup_date") == year) & (F.col(feed_column) == feed))
-    counted = picked.agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if(F.col(payment) == "Credit card").alias("credit"),
-        F.count_if(F.col(payment) == "Cash").alias("cash"),
+    counted = grouped(
+        in_year(fact, year).where(F.col(feed_column) == feed),
+        trips="count(1)",
+        credit=f"count_if({payment} = 'Credit card')",
+        cash=f"count_if({payment} = 'Cash')",
     )
-    n = F.col("trips")
-    return counted.select(
-        "trips",
-        F.when(n > 0, F.col("credit") * 100.0 / n).alias("credit_percent"),
-        F.when(n > 0, F.col("cash") * 100.0 / n).alias("cash_percent"),
+    return counted.selectExpr(
+        "trips", "try_divide(credit * 100D, trips) as credit_percent",
+        "try_divide(cash * 100D, trips) as cash_percent",
     )
 
 
 def hourly_pattern(fact: DataFrame, borough: str, year: int) -> DataFrame:
     """Mean trips per hour of day over the days of a year that have any in that hour."""
-    picked = fact.where((F.col("pickup_borough") == borough) & (F.year("pickup_date") == year))
-    per_day = picked.groupBy("pickup_date", "pickup_hour").agg(F.count(F.lit(1)).alias("trips"))
-    return per_day.groupBy("pickup_hour").agg(F.avg("trips").alias("avg_trips"))
+    picked = in_year(fact, year).where(F.col("pickup_borough") == borough)
+    per_day = grouped(picked, "pickup_date", "pickup_hour", trips="count(1)")
+    return grouped(per_day, "pickup_hour", avg_trips="avg(trips)")
 
 
 def trips_on(fact: DataFrame, day: date | str) -> DataFrame:
     """Trips of one day; a day without any gives 0."""
-    return fact.where(F.col("pickup_date") == F.lit(str(day)).cast("date")).agg(
-        F.count(F.lit(1)).alias("trips")
-    )
+    return grouped(one_day(fact, day), trips="count(1)")
 
 
 def revenue_by_borough_hour(kpi: DataFrame) -> DataFrame:
     """Revenue per borough and hour of day."""
-    return kpi.groupBy("pickup_borough", "pickup_hour").agg(exact_sum("total_revenue").alias("revenue"))
+    return grouped(kpi, "pickup_borough", "pickup_hour", revenue=exact_sum("total_revenue"))
 
 
 def airport_fares(fact: DataFrame) -> DataFrame:
     """Mean fare of airport and other trips; unknown zones stand apart."""
-    return fact.groupBy("is_airport_trip").agg(
-        exact_avg("fare_amount").alias("avg_fare"), F.count(F.lit(1)).alias("trips")
-    )
+    return grouped(fact, "is_airport_trip", avg_fare=exact_avg("fare_amount"), trips="count(1)")
 
 
 def weekly_trend(kpi: DataFrame) -> DataFrame:
     """The seven-day rolling mean per borough at the end of each day."""
-    last = F.max_by("rolling_7d_trips", "pickup_hour")
-    return kpi.groupBy("pickup_borough", "pickup_date").agg(
-        round_to(last, 6).alias("rolling_7d_trips")
-    )
+    last = grouped(kpi, "pickup_borough", "pickup_date", latest="max_by(rolling_7d_trips, pickup_hour)")
+    return last.selectExpr("pickup_borough", "pickup_date", f"{round_to('latest', 6)} as rolling_7d_trips")
 
 
 # Answer cases with the words an answer must and must not hold.
@@ -230,34 +227,25 @@ def score_answers(answers: DataFrame, text: str,
                   cases: Sequence[tuple[str, Sequence[str], Sequence[str]]] = ANSWER_CASES,
                   valid: str | None = None) -> DataFrame:
     """Every answer against every case: share of wanted words, forbidden hit, pass flag."""
-    answer = F.lower(F.col(text))
-
-    def hits(words: Sequence[str]) -> Column:
-        count = F.lit(0)
-        for w in words:
-            count = count + F.coalesce(F.contains(answer, F.lit(w.lower())), F.lit(False)).cast("int")
-        return count
-
-    scored = F.array(*[
-        F.struct(
-            F.lit(case).alias("case_id"),
-            (hits(wanted) / F.lit(float(len(wanted))) if wanted else F.lit(1.0)).alias("precision"),
-            (hits(barred) > 0).alias("forbidden_hit"),
-        )
-        for case, wanted, barred in cases
-    ])
-    out = answers.withColumn("_s", F.explode(scored)).select(
-        *answers.columns, "_s.case_id", "_s.precision", "_s.forbidden_hit"
-    )
-    ran = F.col(valid) if valid else F.lit(True)
-    return out.withColumn("passed", (F.col("precision") == 1.0) & ran & ~F.col("forbidden_hit"))
+    def hits(words: Sequence[str]) -> str:
+        return " + ".join(
+            f"cast(contains(lower({text}), {text_list([w.lower()])}) as int)" for w in words
+        ) or "0"
+
+    def scored(case: str, wanted: Sequence[str], barred: Sequence[str]) -> str:
+        share = f"coalesce(({hits(wanted)}) / {len(wanted)}D, 0D)" if wanted else "1D"
+        return (f"named_struct('case_id', '{case}', 'precision', {share}, "
+                f"'forbidden_hit', coalesce(({hits(barred)}) > 0, false))")
+
+    out = answers.selectExpr("*", f"inline(array({', '.join(scored(*c) for c in cases)}))")
+    return out.selectExpr("*", f"precision = 1 and {valid or 'true'} and not forbidden_hit as passed")
 
 
 def score_summary(scored: DataFrame, latency: str, by: Sequence[str] = ("case_id",)) -> DataFrame:
     """Pass rate, mean precision and nearest-rank latencies per run."""
-    rates = scored.groupBy(*by).agg(
-        (F.sum(F.col("passed").cast("long")) / F.count(F.lit(1))).alias("pass_rate"),
-        exact_avg("precision", RATIO_PLACES).alias("precision_mean"),
+    rates = grouped(
+        scored, *by, pass_rate="sum(cast(passed as bigint)) / count(1)",
+        precision_mean=exact_avg("precision", RATIO_PLACES),
     )
     ranks: Mapping[str, float] = {"latency_p50": 0.5, "latency_p95": 0.95}
     return rates.join(nearest_rank(scored, by, latency, ranks), list(by), "left")

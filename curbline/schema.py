@@ -35,7 +35,7 @@ STABLE_TYPES: dict[str, str] = {
     **dict.fromkeys(
         ("VendorID", "RatecodeID", "payment_type", "passenger_count", "PULocationID", "DOLocationID",
          "trip_type"),
-        "long",
+        "bigint",
     ),
     **dict.fromkeys(
         ("trip_distance", "fare_amount", "tip_amount", "total_amount", "extra", "mta_tax",

@@ -20,10 +20,15 @@ from curbline.sources.readers import read_evolved
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None where nothing has been written yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return None
     try:
         return read_evolved(spark, path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 

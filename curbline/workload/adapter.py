@@ -60,12 +60,11 @@ _FEED_ONLY_SQL = {
 _RAW_CLOCKS = {"yellow": "tpep_", "green": "lpep_"}
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """One feed as it would land: feed-specific clock names, vintage spellings."""
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == FEED_STATUS[feed])
+def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both feeds as they would land: feed-specific clock names, vintage spellings."""
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    cents = joined.selectExpr(
+    cents = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
         "*",
         "cast(rint(l_extendedprice * 100) as bigint) as price_cents",
         "cast(rint(l_extendedprice * 100) as bigint) div 500 as fare_cents",
@@ -74,12 +73,15 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
         "cast(timestampadd(MINUTE, cast((l_partkey * 7 + l_suppkey * 13) % 1440 as int), o_orderdate)"
         " as timestamp_ntz) as picked_up",
     )
-    prefix = _RAW_CLOCKS[feed]
-    columns = {**_TRIP_SQL, **_FEED_ONLY_SQL[feed]}
-    return cents.selectExpr(*[
-        f"{sql} as {prefix + name if name.endswith('_datetime') else name}"
-        for name, sql in columns.items()
-    ])
+
+    def shaped(feed: str) -> DataFrame:
+        prefix = _RAW_CLOCKS[feed]
+        return cents.where(f"l_linestatus = '{FEED_STATUS[feed]}'").selectExpr(*[
+            f"{sql} as {prefix + name if name.endswith('_datetime') else name}"
+            for name, sql in {**_TRIP_SQL, **_FEED_ONLY_SQL[feed]}.items()
+        ])
+
+    return {feed: shaped(feed) for feed in FEED_STATUS}
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,18 +92,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
         region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    borough = F.lit(None).cast("string")
-    for name, shown in BOROUGH_OF_REGION.items():
-        borough = F.when(F.col("r_name") == name, shown).otherwise(borough)
-    last = F.col("s_suppkey") % 10
-    return placed.select(
-        F.col("s_suppkey").cast("int").alias("LocationID"),
-        borough.alias("Borough"),
-        F.when(last == 0, F.concat(F.lit("JFK "), "s_name"))
-        .when(last == 1, F.concat(F.lit("Newark "), "s_name"))
-        .otherwise(F.col("s_name")).alias("Zone"),
-        F.when(last == 0, "Airports").when(last == 1, "EWR")
-        .when(F.col("r_name") == "AFRICA", "Yellow Zone").otherwise("Boro Zone").alias("service_zone"),
+    boroughs = " ".join(f"when '{name}' then '{shown}'" for name, shown in BOROUGH_OF_REGION.items())
+    return placed.selectExpr(
+        "cast(s_suppkey as int) as LocationID",
+        f"case r_name {boroughs} end as Borough",
+        "case s_suppkey % 10 when 0 then 'JFK ' || s_name when 1 then 'Newark ' || s_name else s_name end"
+        " as Zone",
+        "case when s_suppkey % 10 = 0 then 'Airports' when s_suppkey % 10 = 1 then 'EWR' "
+        "when r_name = 'AFRICA' then 'Yellow Zone' else 'Boro Zone' end as service_zone",
     )
 
 

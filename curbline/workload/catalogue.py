@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_sum
 from curbline.operators import clean, enrich, incremental, kpi, marts, quality, ranking
-from curbline.operators.joins import orphans, small_enough
+from curbline.operators.joins import orphans
 from curbline.operators.ordinal import large_groups
 from curbline.plans import serving, warehouse
 from curbline.schema import differences_frame
@@ -37,20 +37,24 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # ---- shared frames -----------------------------------------------------------
 
-def typed(spark: SparkSession, sf: str, feed: str) -> DataFrame:
-    return clean.enforce_types(clean.normalize_columns(ad.raw_feed(spark, sf, feed), feed))
+def typed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Each feed with canonical names and types."""
+    return {
+        feed: clean.enforce_types(clean.normalize_columns(raw, feed))
+        for feed, raw in ad.raw_feeds(spark, sf).items()
+    }
 
 
 def both(spark: SparkSession, sf: str) -> DataFrame:
     """Typed rows of both feeds before any gate."""
     return enrich.union_evolved([
-        typed(spark, sf, f).withColumn("vehicle_type", F.lit(f)) for f in ad.FEED_STATUS
+        df.selectExpr("*", f"'{feed}' as vehicle_type") for feed, df in typed(spark, sf).items()
     ])
 
 
-def silver(spark: SparkSession, sf: str) -> DataFrame:
+def silver(spark: SparkSession, sf: str, year: int | None = None, month: int | None = None) -> DataFrame:
     return enrich.union_evolved([
-        clean.cleanse(ad.raw_feed(spark, sf, f), f) for f in ad.FEED_STATUS
+        clean.cleanse(raw, feed, year, month) for feed, raw in ad.raw_feeds(spark, sf).items()
     ])
 
 
@@ -66,12 +70,8 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.with_rolling_week(hours(spark, sf))
 
 
-def feeds(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {f: typed(spark, sf, f) for f in ad.FEED_STATUS}
-
-
 def unkeyed_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.fact_trips(warehouse.staged(feeds(spark, sf)))
+    return marts.fact_trips(warehouse.staged(typed(spark, sf)))
 
 
 def locations(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +83,7 @@ def days(spark: SparkSession) -> DataFrame:
 
 
 def mart(spark: SparkSession, sf: str) -> DataFrame:
-    return warehouse.hourly(feeds(spark, sf), ad.zones(spark, sf), *ad.CALENDAR)
+    return warehouse.hourly(typed(spark, sf), ad.zones(spark, sf), *ad.CALENDAR)
 
 
 SILVER_LIST = """VendorID, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, RatecodeID,
@@ -139,7 +139,7 @@ def clean_quality_gate(spark, sf):
 @query("clean_derived", with_sql(*ad.SANE, final=f"select {SILVER_LIST} from derived"))
 def clean_derived(spark, sf):
     good = clean.gate(both(spark, sf), clean.quality_rules())
-    return clean.derive_trip_features(good, F.col("vehicle_type"))
+    return clean.derive_trip_features(good)
 
 
 @query("clean_sanity_gate", with_sql(*ad.SANE, final=f"select {SILVER_LIST} from sane"))
@@ -168,9 +168,7 @@ def clean_dedup(spark, sf):
 @query("clean_month", with_sql(*ad.SANE, final=f"""
 select {SILVER_LIST} from silver where pickup_year = 1997 and pickup_month = 3"""))
 def clean_month(spark, sf):
-    return enrich.union_evolved([
-        clean.cleanse(ad.raw_feed(spark, sf, f), f, 1997, 3) for f in ad.FEED_STATUS
-    ])
+    return silver(spark, sf, 1997, 3)
 
 
 @query("clean_reject_report", with_sql(_REJECT_BASE := ad._BASE_SQL, """
@@ -205,7 +203,7 @@ select r.reason, count(j.reason) as row_count,
   count(j.reason) * 100e0 / (select count(*) from judged) as percent
 from reasons r left join judged j on r.reason = j.reason group by r.reason"""))
 def clean_reject_report(spark, sf):
-    derived = clean.derive_trip_features(both(spark, sf), F.col("vehicle_type"))
+    derived = clean.derive_trip_features(both(spark, sf))
     return clean.reject_breakdown(derived, {**clean.quality_rules(), **clean.sanity_rules()})
 
 
@@ -273,7 +271,7 @@ from h window w as (partition by event_type order by epoch(hour_start)
 def kpi_rolling_events(spark, sf):
     hourly = ad.table(spark, sf, "events").groupBy(
         "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start")
-    ).agg(F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
+    ).agg(F.count(F.lit(1)).alias("n"), F.expr(f"{exact_sum('value')} as total"))
     return kpi.rolling_mean(
         hourly, ["event_type"], "hour_start", {"rolling_n": "n", "rolling_total": "total"}
     )
@@ -283,12 +281,12 @@ def kpi_rolling_events(spark, sf):
 
 @query("stage_trips", with_sql(*ad.STAGED, final="select * from staged"))
 def stage_trips(spark, sf):
-    return warehouse.staged(feeds(spark, sf))
+    return warehouse.staged(typed(spark, sf))
 
 
 @query("union_keyed", with_sql(*ad.KEYED, final="select * from keyed"))
 def union_keyed(spark, sf):
-    staged = warehouse.staged(feeds(spark, sf))
+    staged = warehouse.staged(typed(spark, sf))
     return marts.with_trip_key(staged, large_groups(staged, marts.NATURAL_KEY))
 
 
@@ -362,7 +360,7 @@ def replace_month(spark, sf):
     ).withColumn("o_totalprice", F.col("o_totalprice") + 100)
     sinks.replace_partition(corrected, path, {"o_year": 1997, "o_month": 3})
     return readers.read_evolved(spark, path).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("total")
+        F.count(F.lit(1)).alias("orders"), F.expr(f"{exact_sum('o_totalprice')} as total")
     )
 
 
@@ -381,7 +379,7 @@ def insert_overwrite(spark, sf):
     late = incremental.lookback(events, "day", incremental.latest_day(events, "day"))
     sinks.insert_overwrite(late.withColumn("value", F.col("value") + 1), path, ["day"])
     return readers.read_evolved(spark, path).groupBy("day").agg(
-        F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total")
+        F.count(F.lit(1)).alias("n"), F.expr(f"{exact_sum('value')} as total")
     )
 
 
@@ -396,7 +394,7 @@ def evolved_read(spark, sf):
     sinks.write_partitioned(older, path, ["o_year"])
     sinks.insert_overwrite(orders.where(F.col("o_year") >= 1998), path, ["o_year"])
     return readers.read_evolved(spark, path).groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("total")
+        F.count(F.lit(1)).alias("orders"), F.expr(f"{exact_sum('o_totalprice')} as total")
     )
 
 
@@ -428,7 +426,7 @@ def quarantine_partition(spark, sf):
     if copied is None:
         copied = failed
     return copied.groupBy("event_type", "day").agg(
-        F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total")
+        F.count(F.lit(1)).alias("n"), F.expr(f"{exact_sum('value')} as total")
     )
 
 
@@ -680,7 +678,7 @@ where t.n >= min_rows
 union all
 select 'green', 'too_few_rows', null, 'CRITICAL' from lineitem where l_linestatus = 'O' having count(*) < 100""")
 def dq_schema_contract(spark, sf):
-    return quality.file_contract(ad.raw_feed(spark, sf, "green").drop("payment_type"), "green")
+    return quality.file_contract(ad.raw_feeds(spark, sf)["green"].drop("payment_type"), "green")
 
 
 @query("dq_schema_differences", """
@@ -690,7 +688,7 @@ from (values ('RatecodeID'), ('VendorID'), ('Airport_fee'), ('cbd_congestion_fee
   ('congestion_surcharge')) v(c)
 where exists (select 1 from lineitem)""")
 def dq_schema_differences(spark, sf):
-    return differences_frame(spark, ad.raw_feed(spark, sf, "yellow"), "yellow")
+    return differences_frame(spark, ad.raw_feeds(spark, sf)["yellow"], "yellow")
 
 
 @query("dq_freshness", """
@@ -953,8 +951,8 @@ cases(case_id, wanted, barred) as (values
 ),
 marked as (
   select conv_id, turn, length(text) as answer_length, case_id,
-    len(list_filter(wanted, w -> contains(lower(text), w))) / cast(len(wanted) as double) as precision,
-    len(list_filter(barred, w -> contains(lower(text), w))) > 0 as forbidden_hit
+    len(list_filter(wanted, lambda w: contains(lower(text), w))) / cast(len(wanted) as double) as precision,
+    len(list_filter(barred, lambda w: contains(lower(text), w))) > 0 as forbidden_hit
   from conversations, cases
 ),
 scored as (select *, precision = 1 and not forbidden_hit as passed from marked)"""
