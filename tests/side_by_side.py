@@ -67,6 +67,7 @@ def main() -> int:
     sf_dir, *names = sys.argv[1:]
     spark = build_session("side-by-side", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
+        "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
