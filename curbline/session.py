@@ -16,7 +16,6 @@ def build_session(app: str = "curbline", master: str | None = None, **conf: str)
     """
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -25,12 +24,22 @@ def build_session(app: str = "curbline", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return settle(builder.getOrCreate())
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Trip clocks are wall-clock values; read and print them as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+# Trip clocks are wall-clock values, read and printed as UTC. Wide trip rows make
+# generated methods that the JVM's compiler refuses above 8000 bytes of code and
+# then interprets; below that limit Spark splits the work into smaller methods.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings that results and speed depend on."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.session import pin_utc
+from curbline.session import settle
+from curbline.sources.readers import spread
 
 FEED_STATUS = {"yellow": "F", "green": "O"}
 
@@ -22,7 +23,7 @@ BOROUGH_OF_REGION = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return settle(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _TRIP_SQL = {
@@ -62,7 +63,7 @@ _RAW_CLOCKS = {"yellow": "tpep_", "green": "lpep_"}
 
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Both feeds as they would land: feed-specific clock names, vintage spellings."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders")
     cents = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
         "*",
