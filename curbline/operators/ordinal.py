@@ -11,6 +11,9 @@ from curbline.session import ready_to_checkpoint
 
 # A window sorts a whole group in one task. Groups above this many rows are split.
 LARGE_GROUP_ROWS = 5_000_000
+# At most this many groups are split; any other group holds less than one part in
+# this many of the rows, which is no more than a usual task's share.
+MAX_LARGE_GROUPS = 10_000
 SAMPLE_FRACTION = 0.01
 # Copies of one row are written out this many at a time.
 COPIES_PER_TASK = 1_000_000
@@ -20,16 +23,17 @@ def large_groups(df: DataFrame, keys: Sequence[str], rows: int = LARGE_GROUP_ROW
                  fraction: float = SAMPLE_FRACTION, seed: int = 7) -> DataFrame:
     """Keys estimated to hold at least ``rows`` rows, as a small literal frame.
 
-    Runs one job on a sample that reads the key columns only. There can be at
-    most total/rows such keys, so they fit the driver at any scale. Missing one
-    costs time, not correctness.
+    Runs one job on a sample that reads the key columns only. The largest
+    MAX_LARGE_GROUPS are returned, whatever the size of the data; a group left
+    out is numbered by the plain window, so it costs time, not correctness.
     """
     floor = max(1, int(rows * fraction / 2))
     counted = df.select(*keys)
     if fraction < 1.0:
         counted = counted.sample(fraction, seed)
-    found = counted.groupBy(*keys).count().where(F.col("count") >= floor).drop("count")
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    found = counted.groupBy(*keys).count().where(F.col("count") >= floor)
+    top = found.orderBy(F.desc("count")).limit(MAX_LARGE_GROUPS).drop("count")
+    return df.sparkSession.createDataFrame(top.collect(), top.schema)
 
 
 def _same_key(left: str, right: str, keys: Sequence[str]):

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_avg
@@ -20,11 +20,6 @@ from curbline.schema import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_differenc
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
 
-RESULT_SCHEMA = (
-    "check_id string, check_type string, column_name string, severity string, success boolean, "
-    "observed_value double, element_count bigint, unexpected_count bigint, unexpected_percent double"
-)
-
 
 @dataclass(frozen=True)
 class Check:
@@ -374,8 +369,17 @@ def constraint_checks(table: str) -> tuple[Check, ...]:
     )
 
 
+def constrained_columns(table: str) -> list[str]:
+    """The columns that a mart's constraints look at."""
+    c = MART_CONSTRAINTS[table]
+    return list(dict.fromkeys((*c.not_null, *c.unique, *c.accepted, *c.references)))
+
+
 def run_constraints(table: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Every constraint of a mart as result rows: one shared pass, plus one job per key check."""
+    """Every constraint of a mart as result rows: one shared pass, plus one pass per key check.
+
+    Hand it a written table: a lazy frame would be computed again for each pass.
+    """
     c = MART_CONSTRAINTS[table]
     frames = [run_suite(df, constraint_checks(table))]
     frames += [check_unique(df, [k], f"{table}.{k}.unique") for k in c.unique]
@@ -385,5 +389,3 @@ def run_constraints(table: str, df: DataFrame, parents: dict[str, DataFrame] | N
     return union_results(frames)
 
 
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)

@@ -74,7 +74,7 @@ def sample_capped(df: DataFrame, cap: int = SAMPLE_ROWS, seed: int = 11) -> Data
 
     Every task thins its rows to a little over the share needed; only those are
     sorted. The margin is ten standard deviations; should the thinned set still
-    be short, the whole frame is sorted instead.
+    be short, it is drawn again twice as large.
     """
     rows = df.count()
     if rows <= cap:
@@ -82,8 +82,9 @@ def sample_capped(df: DataFrame, cap: int = SAMPLE_ROWS, seed: int = 11) -> Data
     fraction = min(1.0, (cap + 10 * math.sqrt(cap) + 10) / rows)
     drawn = df.withColumn("_u", F.rand(seed))
     thinned = drawn.where(F.col("_u") < fraction)
-    if thinned.limit(cap).count() < cap:
-        thinned = drawn
+    while fraction < 1.0 and thinned.limit(cap).count() < cap:
+        fraction = min(1.0, fraction * 2)
+        thinned = drawn.where(F.col("_u") < fraction)
     return thinned.orderBy("_u").limit(cap).drop("_u")
 
 

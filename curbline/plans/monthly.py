@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curbline.operators.clean import cleanse
 from curbline.operators.enrich import enrich, union_evolved
 from curbline.operators.kpi import hourly_kpis, with_rolling_week
-from curbline.schema import PARTITION_KEYS
+from curbline.schema import GOLD_FACT, GOLD_KPI, PARTITION_KEYS, SILVER
 from curbline.sources.readers import read_feed, read_month
 from curbline.sources.sinks import replace_partition
 
@@ -40,12 +40,12 @@ def run_month(spark: SparkSession, root: str, year: int, month: int, zones: Data
     clean = {
         feed: replace_partition(
             cleanse(read_feed(spark, root, feed, year, month), feed, year, month),
-            f"{root}/silver/{feed}", target,
+            f"{root}/silver/{feed}", target, SILVER,
         )
         for feed in FEEDS
     }
     trips = union_evolved([read_month(spark, f"{root}/silver/{f}", year, month) for f in FEEDS])
-    enriched = replace_partition(enrich(trips, zones), f"{root}/gold/fact_trips", target)
+    enriched = replace_partition(enrich(trips, zones), f"{root}/gold/fact_trips", target, GOLD_FACT)
     fact = read_month(spark, f"{root}/gold/fact_trips", year, month)
-    kpi = replace_partition(kpi_rows(fact), f"{root}/gold/hourly_kpis", target)
+    kpi = replace_partition(kpi_rows(fact), f"{root}/gold/hourly_kpis", target, GOLD_KPI)
     return MonthCounts(clean, enriched, kpi)

@@ -30,8 +30,9 @@ pickup_datetime_hour timestamp, rolling_7d_trips double, rolling_7d_revenue doub
 revenue_per_mile double
 """
 
-# The type every known raw column is brought to.
+# The type every known raw column is brought to. Clocks carry no zone.
 STABLE_TYPES: dict[str, str] = {
+    **dict.fromkeys(("pickup_datetime", "dropoff_datetime"), "timestamp_ntz"),
     **dict.fromkeys(
         ("VendorID", "RatecodeID", "payment_type", "passenger_count", "PULocationID", "DOLocationID",
          "trip_type"),

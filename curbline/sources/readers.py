@@ -63,8 +63,21 @@ def read_month(
     spark: SparkSession, path: str, year: int, month: int,
     keys: Sequence[str] = ("pickup_year", "pickup_month"),
 ) -> DataFrame:
-    """One month of a table partitioned by (year, month); only that directory is read."""
-    return read_evolved(spark, path).where((F.col(keys[0]) == year) & (F.col(keys[1]) == month))
+    """One month of a table partitioned by (year, month).
+
+    The month's directory is opened by name, so that the cost of listing files
+    and merging their schemas does not grow with the table's history.
+    """
+    leaf = f"{path}/{keys[0]}={year}/{keys[1]}={month}"
+    if not path_exists(spark, leaf):
+        return read_evolved(spark, path).where((F.col(keys[0]) == year) & (F.col(keys[1]) == month))
+    return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(leaf)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:

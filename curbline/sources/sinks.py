@@ -13,17 +13,15 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbline.schema import assert_additive
-from curbline.sources.readers import read_evolved
+from curbline.sources.readers import path_exists, read_evolved
 
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None where nothing has been written yet."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(place):
+    if not path_exists(spark, path):
         return None
     try:
         return read_evolved(spark, path)
@@ -33,9 +31,16 @@ def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def check_evolution(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Stop before writing a batch that would change a column's type."""
-    table = existing_table(spark, path)
+def check_evolution(df: DataFrame, path: str, contract: T.StructType | None = None) -> None:
+    """Stop before writing a batch that would change a column's type.
+
+    Against a declared contract this costs nothing; without one the schemas of
+    the table's files are merged, which takes longer the more files there are.
+    """
+    if contract is not None:
+        assert_additive(contract, df.schema)
+        return
+    table = existing_table(df.sparkSession, path)
     if table is not None:
         assert_additive(table.schema, df.schema)
 
@@ -44,21 +49,20 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
                       fmt: str = "parquet") -> None:
     """Hive-style directories by key columns.
 
-    ``rebalance`` lets adaptive execution split a large partition over several
-    tasks and merge small ones, so one hot month does not end up in one task.
+    ``rebalance`` gathers a partition's rows into few files, while adaptive
+    execution splits a large one over several tasks.
     """
-    df.hint("rebalance").write.format(fmt).mode(mode).partitionBy(*keys).save(path)
+    df.hint("rebalance", *keys).write.format(fmt).mode(mode).partitionBy(*keys).save(path)
 
 
-def replace_partition(df: DataFrame, path: str, where: Mapping[str, int | str], fmt: str = "parquet",
-                      ) -> int:
+def replace_partition(df: DataFrame, path: str, where: Mapping[str, int | str],
+                      contract: T.StructType | None = None, fmt: str = "parquet") -> int:
     """Replace exactly the partition named by ``where``; returns the rows written.
 
     A row outside the partition fails the job before anything is swapped. An
     empty batch empties the partition, which dynamic overwrite alone would not.
     """
-    spark = df.sparkSession
-    check_evolution(spark, df, path)
+    check_evolution(df, path, contract)
     guarded = df.withColumns({
         k: F.when(F.col(k) == v, F.col(k)).otherwise(
             F.raise_error(F.concat(F.lit(f"row outside {k}={v}: "),
@@ -82,9 +86,10 @@ def replace_partition(df: DataFrame, path: str, where: Mapping[str, int | str],
     return written
 
 
-def insert_overwrite(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
+def insert_overwrite(df: DataFrame, path: str, keys: Sequence[str],
+                     contract: T.StructType | None = None, fmt: str = "parquet") -> None:
     """Replace the partitions present in the batch; every other one stays."""
-    check_evolution(df.sparkSession, df, path)
+    check_evolution(df, path, contract)
     (
         df.hint("rebalance", *keys)
         .write.format(fmt).mode("overwrite")

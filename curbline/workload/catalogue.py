@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_sum
 from curbline.operators import clean, enrich, incremental, kpi, marts, quality, ranking
-from curbline.operators.joins import orphans
+from curbline.operators.joins import dim_join, orphans
 from curbline.operators.ordinal import large_groups
 from curbline.plans import serving, warehouse
 from curbline.schema import differences_frame
@@ -420,7 +420,7 @@ def quarantine_partition(spark, sf):
         "event_id", "event_type", "value", F.to_date("ts").alias("day")
     )
     worst = events.groupBy("event_type").agg(F.max("value").alias("worst")).where("worst >= 100")
-    failed = events.join(worst.select("event_type"), "event_type", "left_semi")
+    failed = dim_join(events, worst.select("event_type"), "event_type", how="left_semi")
     sinks.quarantine(failed, path, ["event_type"])
     copied = sinks.existing_table(spark, path)
     if copied is None:
@@ -640,8 +640,10 @@ def dq_constraints_location(spark, sf):
 @query("dq_constraints_fact", with_sql(
     *ad.KEYED_FACT, *ad.LOCATIONS, final=_constraint_sql("fact_trips", "fact")))
 def dq_constraints_fact(spark, sf):
+    path = scratch_path(spark, "fact")
+    mart_fact(spark, sf).select(*quality.constrained_columns("fact_trips")).write.parquet(path)
     return quality.run_constraints(
-        "fact_trips", mart_fact(spark, sf), {"dim_location": locations(spark, sf)}
+        "fact_trips", spark.read.parquet(path), {"dim_location": locations(spark, sf)}
     )
 
 

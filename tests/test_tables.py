@@ -3,9 +3,11 @@ from datetime import date, datetime
 import pytest
 
 from curbline.operators import incremental
-from curbline.plans import monthly, warehouse
+from curbline.operators.quality import TRIP_SUITE
+from curbline.plans import checking, monthly, warehouse
 from curbline.session import shared_folder
 from curbline.sources import catalog, readers, sinks, spines
+from curbline.streaming import landing
 
 
 def months(spark, rows):
@@ -68,8 +70,11 @@ def test_month_scan_reads_one_directory(spark, tmp_path):
     sinks.write_partitioned(months(spark, rows), path, ["y", "m"])
     picked = readers.read_month(spark, path, 2023, 2, keys=("y", "m"))
     plan = picked._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(y" in plan
-    assert [r.id for r in picked.collect()] == [2]
+    assert "y=2023/m=2]" in plan and "m=1" not in plan
+    assert [(r.id, r.y, r.m) for r in picked.collect()] == [(2, 2023, 2)]
+    assert readers.read_month(spark, path, 2023, 9, keys=("y", "m")).count() == 0
+    pruned = readers.read_evolved(spark, path).where("y = 2023 and m = 2")
+    assert "PartitionFilters: [isnotnull(y" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
 def test_manifest_lists_live_files(spark, tmp_path):
@@ -210,3 +215,37 @@ def test_mart_refresh_rewrites_recent_days_only(spark, tmp_path):
 
 def test_shared_folder_is_stable(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_landing_runs_each_new_month_once(spark, tmp_path):
+    root, seen = str(tmp_path), []
+    bronze(spark, root, "yellow", "tpep", [trip(8)])
+    spark.read.parquet(f"{root}/bronze/yellow/2023-03/").write.parquet(f"{root}/bronze/yellow/2023-04/")
+
+    def handle(*month):
+        seen.append(month)
+
+    follow = lambda: landing.follow_feed(spark, root, "yellow", f"{root}/seen", handle)
+    assert follow() == 2 and seen == [("yellow", 2023, 3), ("yellow", 2023, 4)]
+    assert follow() == 0
+    spark.read.parquet(f"{root}/bronze/yellow/2023-03/").write.mode("append").parquet(
+        f"{root}/bronze/yellow/2023-03/")
+    assert follow() == 1 and seen[-1] == ("yellow", 2023, 3)
+
+
+def test_quality_run_sets_bad_partitions_aside(spark, tmp_path):
+    root = str(tmp_path)
+    bronze(spark, root, "yellow", "tpep", [trip(8), trip(9)])
+    bronze(spark, root, "green", "lpep", [trip(8, pu=2)])
+    zones = spark.createDataFrame([(1, "Manhattan", "Midtown", "Yellow Zone")], readers.ZONE_SCHEMA)
+    monthly.run_month(spark, root, 2023, 3, zones)
+    fact = readers.read_month(spark, f"{root}/gold/fact_trips", 2023, 3)
+    keys = ["pickup_year", "pickup_month"]
+    bad = checking.check_partition(fact, "2023-03", keys, f"{root}/reports", f"{root}/aside")
+    assert (bad.passed, bad.critical) == (False, ("CHK-001",))
+    assert readers.read_evolved(spark, f"{root}/aside").count() == fact.count() == 3
+    assert spark.read.json(f"{root}/reports").count() == 8
+    good = checking.check_partition(fact, "2023-03", keys, f"{root}/reports", f"{root}/other", TRIP_SUITE[1:])
+    assert good.passed and not readers.path_exists(spark, f"{root}/other")
+    none = checking.check_partition(fact.limit(0), "2023-03", keys, f"{root}/reports", f"{root}/other")
+    assert not none.passed
