@@ -106,17 +106,21 @@ def reject_breakdown(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     )
 
 
+def with_pace(df: DataFrame) -> DataFrame:
+    """Duration in minutes and speed."""
+    return df.selectExpr(
+        "*", f"{ft.minutes_between('pickup_datetime', 'dropoff_datetime')} as trip_duration_min"
+    ).selectExpr("*", f"{ft.miles_per_hour('trip_distance', 'trip_duration_min')} as speed_mph")
+
+
 def derive_trip_features(df: DataFrame, feed: str | None = None) -> DataFrame:
     """Duration, speed, calendar parts, feed name and trip id.
 
     Without ``feed`` the frame already names it in ``vehicle_type``.
     """
     named = [f"'{feed}' as vehicle_type"] if feed else []
-    return df.selectExpr(
-        "*", f"{ft.minutes_between('pickup_datetime', 'dropoff_datetime')} as trip_duration_min", *named
-    ).selectExpr(
-        "*",
-        f"{ft.miles_per_hour('trip_distance', 'trip_duration_min')} as speed_mph",
+    return with_pace(df).selectExpr(
+        "*", *named,
         "to_date(pickup_datetime) as pickup_date",
         "year(pickup_datetime) as pickup_year",
         "month(pickup_datetime) as pickup_month",
@@ -151,12 +155,12 @@ def cleanse(df: DataFrame, feed: str, year: int | None = None, month: int | None
     """A raw feed as clean trips.
 
     The month fence comes before deduplication: copies share a pickup time, so
-    the result is the same and other months never reach the shuffle. Likewise
-    copies are matched on the fields of the id, not on its 64-character text.
+    the result is the same and other months never reach the shuffle. Copies are
+    matched on the fields of the id, and the id and all other derived columns
+    are added after the shuffle, which then carries the raw columns only.
     """
     typed = enforce_types(normalize_columns(df, feed))
     if year is not None and month is not None:
         typed = month_fence(typed, year, month)
-    good = gate(typed, quality_rules())
-    sane = gate(derive_trip_features(good, feed), sanity_rules())
-    return dedup(sane, TRIP_ID_FIELDS)
+    paced = gate(with_pace(gate(typed, quality_rules())), sanity_rules())
+    return derive_trip_features(dedup(paced.select(*typed.columns), TRIP_ID_FIELDS), feed)

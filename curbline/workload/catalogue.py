@@ -684,13 +684,22 @@ def dq_schema_contract(spark, sf):
 
 
 @query("dq_schema_differences", """
-select 'yellow' as feed, c as column_name, 'unexpected' as finding
+with t as (
+  select count(*) as n, count(case when l_partkey % 4 = 0 then 1 end) as with_cbd
+  from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'F'
+)
+select 'yellow' as feed, c as column_name, 'unexpected' as finding, n as row_count,
+  case when c = 'cbd_congestion_fee' then n - with_cbd else 0 end as null_count
 from (values ('RatecodeID'), ('VendorID'), ('Airport_fee'), ('cbd_congestion_fee'), ('extra'),
   ('improvement_surcharge'), ('mta_tax'), ('store_and_fwd_flag'), ('tip_amount'), ('tolls_amount'),
-  ('congestion_surcharge')) v(c)
-where exists (select 1 from lineitem)""")
+  ('congestion_surcharge')) v(c), t""")
 def dq_schema_differences(spark, sf):
-    return differences_frame(spark, ad.raw_feeds(spark, sf)["yellow"], "yellow")
+    raw = ad.raw_feeds(spark, sf)["yellow"]
+    found = differences_frame(spark, raw, "yellow")
+    filled = quality.profile(raw).select("column_name", "row_count", "null_count")
+    return found.join(filled, "column_name", "left").select(
+        "feed", "column_name", "finding", "row_count", "null_count"
+    )
 
 
 @query("dq_freshness", """

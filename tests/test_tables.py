@@ -161,7 +161,7 @@ def test_csv_zones(spark, tmp_path):
     assert readers.load_seed(readers.read_zones(spark, str(file))).columns[0] == "location_id"
 
 
-@pytest.mark.parametrize("name,feed", [("yellow_tripdata_2023-01.parquet", "yellow"), ("fhvhv_x", "fhvhv"),
+@pytest.mark.parametrize("name,feed", [("yellow_2023-01.parquet", "yellow"), ("fhvhv_x", "fhvhv"),
                                        ("fhv_x", "fhv"), ("good.parquet", None)])
 def test_feed_from_name(spark, name, feed):
     df = spark.createDataFrame([(name,)], "n string")
