@@ -56,14 +56,24 @@ def rolling_mean(df: DataFrame, by: Sequence[str], ts: str, measures: Mapping[st
     return df.selectExpr("*", *[f"{mean(old)} as {new}" for new, old in measures.items()])
 
 
-def with_rolling_week(hourly: DataFrame) -> DataFrame:
-    """Hour timestamp, seven-day means per borough and revenue per mile."""
-    stamped = hourly.selectExpr(
+def with_rolling_week(hourly: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Hour timestamp, seven-day means per borough and revenue per mile.
+
+    ``earlier`` holds hourly rows from before: they enter the means and are not
+    returned. Without it the first week's windows begin with the first row.
+    """
+    rows = hourly
+    if earlier is not None:
+        rows = hourly.selectExpr("*", "true as _wanted").unionByName(
+            earlier.select(*hourly.columns).selectExpr("*", "false as _wanted")
+        )
+    stamped = rows.selectExpr(
         "*",
         f"{hour_timestamp('pickup_date', 'pickup_hour')} as pickup_datetime_hour",
         f"{ratio_if_positive('avg_fare', 'avg_distance_mi')} as revenue_per_mile",
     )
-    return rolling_mean(
+    rolled = rolling_mean(
         stamped, ["pickup_borough"], "pickup_datetime_hour",
         {"rolling_7d_trips": "trip_count", "rolling_7d_revenue": "total_revenue"},
     )
+    return rolled if earlier is None else rolled.where("_wanted").drop("_wanted")

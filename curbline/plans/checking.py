@@ -13,6 +13,19 @@ from curbline.sources.sinks import quarantine, write_report
 SUITE_NAME = "trip_suite"
 
 
+def admit_feed(raw: DataFrame, feed: str | None, quarantine_path: str) -> list[str]:
+    """Hold a raw month to its feed's contract; its rows are copied aside when it fails.
+
+    Returns the critical findings, none for a month that may go on.
+    """
+    critical = [
+        r for r in quality.file_contract(raw, feed).collect() if r.severity == quality.CRITICAL
+    ]
+    if critical:
+        raw.write.mode("overwrite").parquet(quarantine_path)
+    return [f"{r.finding}: {r.column_name}" if r.column_name else r.finding for r in critical]
+
+
 @dataclass(frozen=True)
 class Outcome:
     passed: bool

@@ -8,6 +8,7 @@ observations made while writing.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,7 @@ from curbline.operators.clean import cleanse
 from curbline.operators.enrich import enrich, union_evolved
 from curbline.operators.kpi import hourly_kpis, with_rolling_week
 from curbline.schema import GOLD_FACT, GOLD_KPI, PARTITION_KEYS, SILVER
-from curbline.sources.readers import read_feed, read_month
+from curbline.sources.readers import path_exists, read_feed, read_month
 from curbline.sources.sinks import replace_partition
 
 FEEDS = ("yellow", "green")
@@ -28,14 +29,28 @@ class MonthCounts:
     kpi: int
 
 
-def kpi_rows(fact: DataFrame) -> DataFrame:
+def kpi_rows(fact: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Hourly KPIs with rolling means, keyed for the month partition."""
     keys = (*PARTITION_KEYS, "pickup_date", "pickup_hour", "pickup_borough")
-    return with_rolling_week(hourly_kpis(fact, keys))
+    return with_rolling_week(hourly_kpis(fact, keys), earlier)
 
 
-def run_month(spark: SparkSession, root: str, year: int, month: int, zones: DataFrame) -> MonthCounts:
-    """Bring one month through all layers; running it again gives the same tables."""
+def week_before(spark: SparkSession, path: str, year: int, month: int) -> DataFrame | None:
+    """The hourly rows of the seven days ahead of a month, as far as they were computed."""
+    first = date(year, month, 1)
+    start = first - timedelta(days=7)
+    if not path_exists(spark, f"{path}/{PARTITION_KEYS[0]}={start.year}/{PARTITION_KEYS[1]}={start.month}"):
+        return None
+    return read_month(spark, path, start.year, start.month).where(f"pickup_date >= date '{start}'")
+
+
+def run_month(spark: SparkSession, root: str, year: int, month: int, zones: DataFrame,
+              carry_week: bool = False) -> MonthCounts:
+    """Bring one month through all layers; running it again gives the same tables.
+
+    Rolling means begin anew each month; with ``carry_week`` they also take in
+    the hourly rows of the week before, which are few and already aggregated.
+    """
     target = dict(zip(PARTITION_KEYS, (year, month), strict=True))
     clean = {
         feed: replace_partition(
@@ -47,5 +62,6 @@ def run_month(spark: SparkSession, root: str, year: int, month: int, zones: Data
     trips = union_evolved([read_month(spark, f"{root}/silver/{f}", year, month) for f in FEEDS])
     enriched = replace_partition(enrich(trips, zones), f"{root}/gold/fact_trips", target, GOLD_FACT)
     fact = read_month(spark, f"{root}/gold/fact_trips", year, month)
-    kpi = replace_partition(kpi_rows(fact), f"{root}/gold/hourly_kpis", target, GOLD_KPI)
+    earlier = week_before(spark, f"{root}/gold/hourly_kpis", year, month) if carry_week else None
+    kpi = replace_partition(kpi_rows(fact, earlier), f"{root}/gold/hourly_kpis", target, GOLD_KPI)
     return MonthCounts(clean, enriched, kpi)

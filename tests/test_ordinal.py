@@ -47,3 +47,21 @@ def test_no_large_group_means_one_window(spark):
     out = ordinal.add_ordinal(df, ["k"], ["total"], large=none)
     assert out.count() == df.count()
     assert out.groupBy("k").agg(F.max("ordinal").alias("m"), F.count(F.lit(1)).alias("n")).where("m <> n").isEmpty()
+
+
+def test_keys_stay_unique_when_one_trip_is_copied_a_third_of_the_time(spark, sf):
+    from curbline.operators import marts
+    from curbline.plans import warehouse
+    from curbline.workload import catalogue
+
+    staged = warehouse.staged(catalogue.typed(spark, sf))
+    first = staged.orderBy(*staged.columns).limit(1)
+    copies = first.selectExpr("*", "explode(sequence(1, 2000)) as _copy").drop("_copy")
+    skewed = staged.unionByName(copies)
+    large = ordinal.large_groups(skewed, marts.NATURAL_KEY, rows=500, fraction=1.0)
+    assert large.count() == 1
+    keyed = marts.with_trip_key(skewed, large)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "BroadcastHashJoin" in plan
+    ids = keyed.agg(F.count("trip_id").alias("n"), F.count_distinct("trip_id").alias("u")).first()
+    assert ids.n == ids.u == skewed.count()

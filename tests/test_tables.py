@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -168,7 +168,7 @@ def test_feed_from_name(spark, name, feed):
     assert df.select(readers.feed_from_file_name("n").alias("f")).first().f == feed
 
 
-def bronze(spark, root, feed, prefix, rows):
+def bronze(spark, root, feed, prefix, rows, month="2023-03"):
     df = spark.createDataFrame(rows, (
         f"VendorID bigint, {prefix}_pickup_datetime timestamp_ntz, {prefix}_dropoff_datetime timestamp_ntz, "
         "passenger_count bigint, trip_distance double, RatecodeID bigint, store_and_fwd_flag string, "
@@ -177,7 +177,7 @@ def bronze(spark, root, feed, prefix, rows):
         "total_amount double, congestion_surcharge double"))
     if feed == "yellow":
         df = df.selectExpr("*", "1.25D as Airport_fee")
-    df.write.mode("overwrite").parquet(f"{root}/bronze/{feed}/2023-03/")
+    df.write.mode("overwrite").parquet(f"{root}/bronze/{feed}/{month}/")
 
 
 def trip(hour, total=17.3, pu=1):
@@ -249,3 +249,38 @@ def test_quality_run_sets_bad_partitions_aside(spark, tmp_path):
     assert good.passed and not readers.path_exists(spark, f"{root}/other")
     none = checking.check_partition(fact.limit(0), "2023-03", keys, f"{root}/reports", f"{root}/other")
     assert not none.passed
+
+
+def test_bad_feed_is_copied_aside(spark, tmp_path):
+    root = str(tmp_path)
+    bronze(spark, root, "yellow", "tpep", [trip(8)] * 100)
+    raw = readers.read_feed(spark, root, "yellow", 2023, 3)
+    assert checking.admit_feed(raw, "yellow", f"{root}/aside") == []
+    assert not readers.path_exists(spark, f"{root}/aside")
+    assert checking.admit_feed(raw.drop("fare_amount").limit(5), "yellow", f"{root}/aside") == [
+        "missing_column: fare_amount", "too_few_rows"]
+    assert spark.read.parquet(f"{root}/aside").count() == 5
+
+
+def test_rolling_week_may_reach_into_the_month_before(spark, tmp_path):
+    root = str(tmp_path)
+    zones = spark.createDataFrame([(1, "Manhattan", "Midtown", "Yellow Zone")], readers.ZONE_SCHEMA)
+
+    def land(month, day, copies):
+        at = datetime(2023, month, day, 8)
+        rows = [trip(8)[:1] + (at + timedelta(seconds=i), at + timedelta(minutes=30, seconds=i)) + trip(8)[3:]
+                for i in range(copies)]
+        bronze(spark, root, "yellow", "tpep", rows, f"2023-{month:02d}")
+        bronze(spark, root, "green", "lpep", rows[:0], f"2023-{month:02d}")
+
+    land(3, 20, 9)
+    monthly.run_month(spark, root, 2023, 3, zones)
+    land(3, 28, 4)
+    monthly.run_month(spark, root, 2023, 3, zones)
+    land(4, 1, 2)
+    got = {}
+    for carry in (False, True):
+        monthly.run_month(spark, root, 2023, 4, zones, carry_week=carry)
+        rows = readers.read_month(spark, f"{root}/gold/hourly_kpis", 2023, 4).collect()
+        got[carry] = [(r.trip_count, r.rolling_7d_trips) for r in rows]
+    assert got == {False: [(2, 2.0)], True: [(2, 3.0)]}
