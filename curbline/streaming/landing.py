@@ -12,12 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The columns of Spark's file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 MonthHandler = Callable[[str, int, int], None]
 
 
 def months_of(batch: DataFrame) -> list[tuple[int, int]]:
-    """The (year, month) folders behind a batch of rows; one row per folder reaches the driver."""
-    folder = F.regexp_extract("file_path", r"/(\d{4}-\d{2})/[^/]+$", 1)
+    """The (year, month) folders behind a batch of files; one row per folder reaches the driver."""
+    folder = F.regexp_extract("path", r"/(\d{4}-\d{2})/[^/]+$", 1)
     found = batch.select(folder.alias("folder")).where("folder <> ''").distinct().orderBy("folder")
     return [(int(r.folder[:4]), int(r.folder[5:])) for r in found.collect()]
 
@@ -25,7 +28,8 @@ def months_of(batch: DataFrame) -> list[tuple[int, int]]:
 def follow_feed(spark: SparkSession, root: str, feed: str, checkpoint: str, on_month: MonthHandler) -> int:
     """Handle every month with new files, then stop; returns the number handled.
 
-    Only file names are read here: the stream carries no data column.
+    The stream has one row per file. Its content column is never selected, and
+    so the files are not opened here.
     """
     handled: list[tuple[int, int]] = []
 
@@ -34,9 +38,9 @@ def follow_feed(spark: SparkSession, root: str, feed: str, checkpoint: str, on_m
             on_month(feed, year, month)
             handled.append((year, month))
 
-    schema = spark.read.parquet(f"{root}/bronze/{feed}").schema
-    files = spark.readStream.schema(schema).parquet(f"{root}/bronze/{feed}/*").select(
-        F.col("_metadata.file_path").alias("file_path")
+    files = (
+        spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.parquet")
+        .load(f"{root}/bronze/{feed}/*").select("path")
     )
     stream = files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

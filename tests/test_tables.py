@@ -69,8 +69,7 @@ def test_month_scan_reads_one_directory(spark, tmp_path):
     rows = [(1, 1.0, 2023, 1), (2, 2.0, 2023, 2)]
     sinks.write_partitioned(months(spark, rows), path, ["y", "m"])
     picked = readers.read_month(spark, path, 2023, 2, keys=("y", "m"))
-    plan = picked._jdf.queryExecution().executedPlan().toString()
-    assert "y=2023/m=2]" in plan and "m=1" not in plan
+    assert all("/y=2023/m=2/" in f for f in picked.inputFiles())
     assert [(r.id, r.y, r.m) for r in picked.collect()] == [(2, 2023, 2)]
     assert readers.read_month(spark, path, 2023, 9, keys=("y", "m")).count() == 0
     pruned = readers.read_evolved(spark, path).where("y = 2023 and m = 2")
