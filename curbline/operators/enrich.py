@@ -27,14 +27,16 @@ def zone_role(zones: DataFrame, key: str, prefix: str, service_zone: bool = True
     return zones.selectExpr(*columns)
 
 
-def enrich_zones(trips: DataFrame, zones: DataFrame, small: bool | None = None) -> DataFrame:
-    """Pickup and dropoff zone attributes; the zone table is measured once."""
+def enrich_zones(trips: DataFrame, zones: DataFrame, small: bool | None = None,
+                 dropoff: bool = True) -> DataFrame:
+    """Pickup and, unless left out, dropoff zone attributes; the zone table is measured once."""
     if small is None:
         small = small_enough(zones)
-    picked = dim_join(trips, zone_role(zones, "PULocationID", "pickup"), "PULocationID", small)
-    return dim_join(
-        picked, zone_role(zones, "DOLocationID", "dropoff", service_zone=False), "DOLocationID", small
-    )
+    placed = dim_join(trips, zone_role(zones, "PULocationID", "pickup"), "PULocationID", small)
+    if dropoff:
+        role = zone_role(zones, "DOLocationID", "dropoff", service_zone=False)
+        placed = dim_join(placed, role, "DOLocationID", small)
+    return placed
 
 
 def enrich_payment(trips: DataFrame) -> DataFrame:
@@ -52,6 +54,15 @@ def derive_gold_features(trips: DataFrame) -> DataFrame:
     )
 
 
+def enrich_for_kpis(trips: DataFrame, zones: DataFrame, small: bool | None = None) -> DataFrame:
+    """Only what the hourly KPIs read.
+
+    Spark keeps a left join whose columns nobody uses, since it cannot know
+    that the dimension is unique; so the unused joins are not asked for.
+    """
+    return derive_gold_features(enrich_zones(trips, zones, small, dropoff=False))
+
+
 def enrich(trips: DataFrame, zones: DataFrame, small: bool | None = None) -> DataFrame:
     """Both zone roles, payment names and derived features."""
     return derive_gold_features(enrich_payment(enrich_zones(trips, zones, small)))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbline.functions.trip import text_list
+
 # Layout of the zone lookup file.
 ZONE_SCHEMA = T.StructType([
     T.StructField("LocationID", T.IntegerType(), True),
@@ -101,8 +103,9 @@ def load_seed(zones: DataFrame) -> DataFrame:
 
 
 def lookup_table(spark: SparkSession, rows: Sequence[tuple], key: str, label: str) -> DataFrame:
-    """A literal (long key, string label) table."""
-    return spark.createDataFrame(list(rows), f"{key} bigint, {label} string")
+    """A literal (long key, string label) table, held in the plan itself."""
+    values = ", ".join(f"({int(k)}L, {text_list([v])})" for k, v in rows)
+    return spark.sql(f"select * from values {values} as t({key}, {label})")
 
 
 def payment_types(spark: SparkSession, key: str = "payment_type",

@@ -62,8 +62,13 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.enrich(silver(spark, sf), ad.zones(spark, sf))
 
 
+def picked(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips with their pickup side only."""
+    return enrich.enrich_for_kpis(silver(spark, sf), ad.zones(spark, sf))
+
+
 def hours(spark: SparkSession, sf: str) -> DataFrame:
-    return kpi.hourly_kpis(gold(spark, sf))
+    return kpi.hourly_kpis(picked(spark, sf))
 
 
 def kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -527,8 +532,13 @@ _SUITE_SQL = "suite as (\n" + "\nunion all\n".join([
 SUITE = (*ad.GOLD, _VIEW_SQL, _SUITE_SQL)
 
 
+def checked(spark, sf):
+    """The checked columns; none of them comes from a zone."""
+    return quality.dq_view(enrich.enrich_payment(silver(spark, sf)))
+
+
 def suite_results(spark, sf):
-    return quality.run_suite(quality.dq_view(gold(spark, sf)), quality.TRIP_SUITE)
+    return quality.run_suite(checked(spark, sf), quality.TRIP_SUITE)
 
 
 @query("dq_suite", with_sql(*SUITE, final="select * from suite"))
@@ -549,7 +559,7 @@ def dq_suite(spark, sf):
 ])))
 def dq_documented(spark, sf):
     checks = quality.documented_checks(date(1997, 3, 1))
-    return quality.run_suite(quality.dq_view(gold(spark, sf)), checks)
+    return quality.run_suite(checked(spark, sf), checks)
 
 
 @query("dq_unique", """
@@ -847,7 +857,7 @@ select pickup_borough, vehicle_type, trips,
   cast(trips as double) / cast(sum(trips) over (partition by pickup_borough) as double) as share
 from (select pickup_borough, vehicle_type, count(*) as trips from gold group by all)"""))
 def serve_feed_share(spark, sf):
-    return serving.feed_share_by_borough(gold(spark, sf))
+    return serving.feed_share_by_borough(picked(spark, sf))
 
 
 def _top_sql(zone: str, k: int, where: str = "") -> str:
@@ -857,7 +867,7 @@ def _top_sql(zone: str, k: int, where: str = "") -> str:
 
 @query("serve_top_pickup_zones", _top_sql("pickup_zone", 15))
 def serve_top_pickup_zones(spark, sf):
-    return serving.top_zones(gold(spark, sf), "pickup_zone")
+    return serving.top_zones(picked(spark, sf), "pickup_zone")
 
 
 @query("serve_top_dropoff_zones", _top_sql("dropoff_zone", 15))
@@ -869,13 +879,13 @@ def serve_top_dropoff_zones(spark, sf):
 select {exact_avg_sql('fare_amount')} as avg_fare, count(*) as trips from gold
 where vehicle_type = 'yellow' and year(pickup_date) = 1997 and month(pickup_date) = 1"""))
 def serve_avg_fare_month(spark, sf):
-    return serving.avg_fare_of(gold(spark, sf), "yellow", 1997, 1)
+    return serving.avg_fare_of(silver(spark, sf), "yellow", 1997, 1)
 
 
 @query("serve_busiest_zone", _top_sql(
     "pickup_zone", 1, "where year(pickup_date) = 1997 and quarter(pickup_date) = 1"))
 def serve_busiest_zone(spark, sf):
-    return serving.busiest_zone(gold(spark, sf), 1997, 1)
+    return serving.busiest_zone(picked(spark, sf), 1997, 1)
 
 
 @query("serve_credit_cash", _gold_sql("""
@@ -884,7 +894,7 @@ select count(*) as trips,
   count(*) filter (where payment_type_name = 'Cash') * 100e0 / count(*) as cash_percent
 from gold where year(pickup_date) = 1997 and vehicle_type = 'yellow'"""))
 def serve_credit_cash(spark, sf):
-    return serving.credit_cash_share(gold(spark, sf), 1997, "yellow")
+    return serving.credit_cash_share(enrich.enrich_payment(silver(spark, sf)), 1997, "yellow")
 
 
 @query("serve_hourly_pattern", _gold_sql("""
@@ -892,13 +902,13 @@ select pickup_hour, cast(sum(trips) as double) / count(*) as avg_trips from (
   select pickup_date, pickup_hour, count(*) as trips from gold
   where pickup_borough = 'Manhattan' and year(pickup_date) = 1997 group by all) group by pickup_hour"""))
 def serve_hourly_pattern(spark, sf):
-    return serving.hourly_pattern(gold(spark, sf), "Manhattan", 1997)
+    return serving.hourly_pattern(picked(spark, sf), "Manhattan", 1997)
 
 
 @query("serve_empty_day", _gold_sql(
     "select count(*) as trips from gold where pickup_date = date '2099-01-01'"))
 def serve_empty_day(spark, sf):
-    return serving.trips_on(gold(spark, sf), "2099-01-01")
+    return serving.trips_on(silver(spark, sf), "2099-01-01")
 
 
 @query("serve_borough_hour_revenue", _kpi_sql(f"""
@@ -918,7 +928,7 @@ def serve_weekly_trend(spark, sf):
 select is_airport_trip, {exact_avg_sql('fare_amount')} as avg_fare, count(*) as trips
 from gold group by all"""))
 def serve_airport_fares(spark, sf):
-    return serving.airport_fares(gold(spark, sf))
+    return serving.airport_fares(picked(spark, sf))
 
 
 @query("serve_filtered", _mart_sql("""
