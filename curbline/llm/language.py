@@ -69,8 +69,9 @@ def _read(weights, data: np.ndarray, keep: list | None = None) -> np.ndarray:
     table, recurrent = weights
     steps, n = data.shape
     hidden = recurrent.shape[1]
-    states = np.zeros((steps + 1, hidden, n), np.float32)
-    gates, room = np.empty((3 * hidden, n), np.float32), np.empty((3 * hidden, n), np.float32)
+    kind = recurrent.dtype
+    states = np.zeros((steps + 1, hidden, n), kind)
+    gates, room = np.empty((3 * hidden, n), kind), np.empty((3 * hidden, n), kind)
     for t in range(steps):
         given = table.take(data[t], axis=0).T
         np.dot(recurrent, states[t], out=gates)
