@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from curbline.llm import bpe, embeddings, exact, language, packing, pseudonyms, simhash, urls
+from curbline.llm import (
+    bpe, chunking, embeddings, exact, language, packing, pseudonyms, simhash, suffixes, urls,
+)
 from curbline.llm.common import table
 
 KEY = b"documents"
@@ -28,12 +30,22 @@ def op3_bpe_round_trip(spark, sf):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_chunk_dedup(spark, sf):
+    return chunking.dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256")
+
+
 def op5_packing(spark, sf):
     pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 
 
+def op6_repeat_removal(spark, sf):
+    return suffixes.remove(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_embedding_near_dedup(spark, sf):
     return embeddings.near_groups(table(spark, sf, "embeddings")).select(
         "vec_id", "n_links", "component_id", "kept")
@@ -59,8 +71,8 @@ def op10_language_id(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_url_filter, op3_bpe_round_trip, op5_packing, op7_embedding_near_dedup,
-    op8_simhash_near_dedup, op9_pseudonyms, op10_language_id)}
+    op1_exact_dedup, op2_url_filter, op3_bpe_round_trip, op4_chunk_dedup, op5_packing,
+    op6_repeat_removal, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_pseudonyms, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
