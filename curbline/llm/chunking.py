@@ -106,10 +106,12 @@ def duplicates(docs: DataFrame) -> DataFrame:
     occurrence that stays."""
     table = written(chunks(docs), "chunks")
     # Half the digest first, with nothing else in the row: a partial count sends each key once per task.
-    often = table.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
+    # Both aggregates are written, so that the joins have shuffles of their own, whose hot keys Spark can split.
+    often = written(table.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1"), "often")
     some = written(table.join(often, "d1", "left_semi"), "candidates")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("key"), F.col("start"))
-    firsts = some.groupBy("d1", "d2").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = written(some.groupBy("d1", "d2").agg(
+        F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "firsts")
     return some.join(firsts, ["d1", "d2"]).select(
         "doc_id", "key", "start", (F.col("start") + F.col("size")).alias("stop"),
         (place == F.col("least")).alias("first"))

@@ -204,8 +204,9 @@ def near_groups(vectors: DataFrame, least: float = 0.93, per_cell: int = 2048, f
     nodes = distinct.join(counts, "node", "left").join(joined, "node", "left").withColumn(
         "class", F.coalesce("class", "node"))
     first = nodes.groupBy("class").agg(F.min("least_id").alias("component_id"))
-    labelled = nodes.join(first, "class").select(
-        "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    labelled = written(nodes.join(first, "class").select(
+        "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "component_id"), "classes")
     linked = comparable.join(labelled, ["label", "embedding"]).select("vec_id", "row", "n_links", "component_id")
     alone = own.where("not usable or label is null").select(
         "vec_id", "row", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -212,8 +212,9 @@ def classes(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     joined = components(links(distinct.select("fp"), bucket), "a", "b").withColumnRenamed("node", "fp")
     labelled = distinct.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = labelled.groupBy("component").agg(F.min("least").alias("first"))
-    return labelled.join(least, "component").select(
-        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("component_row"))
+    # Written, so that the join with all documents has shuffles of its own, whose hot keys Spark can split.
+    return written(labelled.join(least, "component").select(
+        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("component_row")), "classes")
 
 
 def near_groups(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:

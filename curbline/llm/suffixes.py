@@ -264,7 +264,8 @@ def _windows(length: int):
 def candidates(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """(anchors whose gram occurs more than once, distinct contexts of grams with two or more contexts)."""
     table = written(anchor_table(docs, length, gram), "anchors")
-    often = table.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, so that the join has shuffles of its own, whose hot keys Spark can split.
+    often = written(table.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "often")
     repeated = written(table.join(often, "gram", "left_semi"), "repeated")
     place = F.struct("doc_id", "key", "at", "low", "high")
     contexts = written(repeated.groupBy("gram", "context").agg(
