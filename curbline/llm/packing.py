@@ -12,19 +12,21 @@ null ids stay null; an empty table gives no pieces. Extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.llm.common import batch, written
-from curbline.llm.words import PartCache
 
 SEQUENCE = 1024
+# The fixed pattern by which byte-level tokenizer files split a text.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _TOKENS = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("local_start", pa.int64()),
                      ("doc_tokens", pa.int64()), ("ids", pa.binary())])
@@ -32,44 +34,51 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
                      ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                      ("continues", pa.bool_()), ("continued", pa.bool_())])
 
-_caches: dict[str, tuple] = {}
-_SPACE = re.compile(r"\s")
-
-
-def encode_parts(tokenizer, parts: list[str], kind: str) -> list[bytes]:
-    """Ids of every part. Parts that are one space and a word are encoded in one text, which their borders
-    cannot change, and told apart by the tokens' places in it; the library's cost per call is many words."""
-    plain = [i for i, p in enumerate(parts) if p[:1] == " " and not _SPACE.search(p, 1)]
-    made: list = [None] * len(parts)
-    if plain:
-        found = tokenizer.encode("".join([parts[i] for i in plain]), add_special_tokens=False)
-        ids = np.array(found.ids, kind)
-        ends = np.cumsum([len(parts[i]) for i in plain])
-        cuts = np.searchsorted(np.fromiter((s for s, _ in found.offsets), np.int64, len(ids)), ends).tolist()
-        raw, width, at = ids.tobytes(), ids.itemsize, 0
-        for i, cut in zip(plain, cuts, strict=True):
-            made[i] = raw[at * width:cut * width]
-            at = cut
-    others = [i for i, m in enumerate(made) if m is None]
-    if others:
-        for i, e in zip(others, tokenizer.encode_batch([parts[i] for i in others], add_special_tokens=False),
-                        strict=True):
-            made[i] = np.array(e.ids, kind).tobytes()
-    return made
-
-
-def _token_cache(path: str) -> tuple[PartCache, str]:
-    """The cache of this worker process for a tokenizer file, and the narrowest type for its ids."""
-    if path not in _caches:
+_encoders: dict[str, tuple] = {}
+
+
+def ranks_of(path: str) -> dict[bytes, int] | None:
+    """A byte-level BPE file's tokens as bytes with their ids, where the ids are also the order of its merges;
+    None for any other tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    model, split = said["model"], said.get("pre_tokenizer") or {}
+    if (model.get("type", "BPE") != "BPE" or said.get("normalizer") or split.get("type") != "ByteLevel"
+            or split.get("add_prefix_space") or not split.get("use_regex", True)):
+        return None
+    # Printable Latin-1 bytes are written as themselves, the others as the characters from 256 on.
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain} | {
+        chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    vocabulary = model["vocab"]
+    if [vocabulary.get(m) for m in merges] != list(range(256, 256 + len(merges))):
+        return None
+    special = {t["content"] for t in said.get("added_tokens", ())}
+    return {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+
+
+def encoder(path: str):
+    """(text -> ids as bytes, type of an id) for this worker process; special tokens are ordinary text.
+
+    Byte-level files go through their ranks, which give the same ids at four times the speed.
+    """
+    if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-
-        _caches[path] = PartCache(lambda parts: encode_parts(tokenizer, parts, kind)), kind
-    return _caches[path]
+        ranks = ranks_of(path)
+        if ranks is None:
+            _encoders[path] = lambda text: np.array(
+                tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes(), kind
+        else:
+            coder = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            _encoders[path] = lambda text: coder.encode_to_numpy(
+                text, disallowed_special=()).astype(kind).tobytes(), kind
+    return _encoders[path]
 
 
 def tokenize(docs: DataFrame, path: str, separator: int = 0) -> DataFrame:
@@ -77,14 +86,13 @@ def tokenize(docs: DataFrame, path: str, separator: int = 0) -> DataFrame:
     with its place in its partition."""
 
     def run(batches):
-        cache, kind = _token_cache(path)
+        encode, kind = encoder(path)
         end = np.array([separator], kind).tobytes()
         part, at, width = TaskContext.get().partitionId(), 0, np.dtype(kind).itemsize
         for given in batches:
             ids, starts, counts = [], [], []
             for text in given.column(1).to_pylist():
-                head, rest = cache.values(text or "")
-                own = b"".join([head, *rest, end])
+                own = encode(text or "") + end
                 ids.append(own)
                 starts.append(at)
                 counts.append(len(own) // width)
@@ -137,7 +145,7 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, separator: int = 0)
     tokens = tokenize(docs, path, separator)
     # One row of 16 bytes per scan task, far below a hundred MB at any input: safe to broadcast.
     starts = F.broadcast(written(partition_starts(tokens), "starts"))
-    _, kind = _token_cache(path)
+    _, kind = encoder(path)
     placed = tokens.join(starts, "part").select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("begin"), "doc_tokens", "ids")
     return placed.mapInArrow(

@@ -21,17 +21,12 @@ def parts(text: str) -> list[str]:
 
 
 class PartCache:
-    """Encodings of parts. ``encode`` maps a list of strings to a list of values; about ``limit``
-    characters are remembered, so memory is bounded whatever the texts are.
+    """Encodings of parts. ``encode`` maps a list of strings to a list of values; at most ``limit``
+    characters are remembered, so memory is bounded whatever the texts are."""
 
-    There are two generations: when the younger one holds half the limit it
-    becomes the older one, from which parts that are met again are taken back.
-    """
-
-    def __init__(self, encode, limit: int = 10_000_000):
+    def __init__(self, encode, limit: int = 6_000_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, object] = {}
-        self.older: dict[str, object] = {}
         self.held = 0
 
     def values(self, text: str):
@@ -39,16 +34,14 @@ class PartCache:
         first, *rest = parts(text)
         head = self.encode([first])[0]
         known = self.known
-        missing = set(rest).difference(known)
+        missing = list(set(rest).difference(known))
         if missing:
             size = sum(map(len, missing)) + 8 * len(missing)
-            if self.held and self.held + size > self.limit // 2:
-                self.older, self.known, self.held = known, {}, 0
-                known, missing = self.known, set(rest)
+            if self.held + size > self.limit:
+                known.clear()
+                self.held = 0
+                missing = list(set(rest))
                 size = sum(map(len, missing)) + 8 * len(missing)
+            known.update(zip(missing, self.encode([" " + p for p in missing]), strict=True))
             self.held += size
-            older = self.older
-            known.update([(p, older[p]) for p in missing if p in older])
-            new = [p for p in missing if p not in known]
-            known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
         return head, map(known.__getitem__, rest)
