@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,14 +47,19 @@ def settle(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder made,
-    and then it is remembered in the session so that later calls agree.
+    Only where that setting is absent and everything runs in one process (tests,
+    a laptop) is a local folder made, and remembered in the session so that later
+    calls agree. On a cluster the setting is required: a folder of this machine
+    would be another folder on every executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     remembered = spark.conf.get("curbline.scratch.dir", None)
     if not remembered:
         remembered = tempfile.mkdtemp(prefix="curbline-")

@@ -4,9 +4,10 @@ import pytest
 import side_by_side
 
 import __spark_entry__ as entry
+from curbline.workload import catalogue
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalogue.QUERIES
+ORACLES = catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con(sf):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
