@@ -4,48 +4,47 @@ Every helper returns a Spark SQL expression as text, for ``F.expr``,
 ``selectExpr`` or ``where``.
 
 Adding doubles in a different order changes the last bits, so two runs of one
-job can disagree. Money here is summed as whole 1/10**places units in a long,
-which gives the same answer however Spark splits the work.
+job can disagree. Sums here are taken in a wide decimal, which gives the same
+answer however Spark splits the work; nothing is rounded to output places on
+the way in.
 """
 
 from __future__ import annotations
 
-# Values at or beyond this size keep their plain double sum; the rest go through longs.
-WHOLE_UNIT_LIMIT = "1e9D"
-# Doubles beyond this have no digits left to round.
-ROUNDABLE_LIMIT = "1e13D"
+# The accumulator: 26 digits before the point, and 12 behind it, far finer than any output.
+ACCUMULATOR = "decimal(38, 12)"
+# Beyond this, a double times a power of ten no longer fits a long.
+PRIMITIVE_LIMIT = "1e13D"
 
 
 def round_to(x: str, places: int) -> str:
-    """Round a double half away from zero, staying in primitive arithmetic.
+    """Round a double half away from zero.
 
-    ``round`` on doubles goes through BigDecimal for every row.
+    ``round`` on doubles goes through BigDecimal for every row; it is left for
+    values too large for primitive arithmetic.
     """
     near = f"signum({x}) * cast(floor(abs({x}) * 1e{places}D + 0.5D) as double) / 1e{places}D"
-    return f"case when abs({x}) < {ROUNDABLE_LIMIT} then {near} else {x} end"
+    return f"case when abs({x}) < {PRIMITIVE_LIMIT} then {near} else round(cast({x} as double), {places}) end"
 
 
-def units(x: str, places: int) -> str:
-    """The value in whole 10**-places units, as a long (half to even)."""
-    return f"cast(rint(({x}) * 1e{places}D) as bigint)"
-
-
-def exact_sum(x: str, places: int = 4, over: str = "") -> str:
+def exact_sum(x: str, over: str = "") -> str:
     """Sum that does not depend on task order; NULL for an all-NULL group.
 
-    ``over`` is the text of a window clause, for a window sum.
+    A group with a value or total that the accumulator cannot hold (NaN,
+    infinities, 1e26 and more) gets the plain double sum. ``over`` is the text
+    of a window clause, for a window sum.
     """
     window = f" over ({over})" if over else ""
-    whole = f"sum(case when abs({x}) < {WHOLE_UNIT_LIMIT} then {units(x, places)} end){window}"
-    loose = f"sum(case when abs({x}) >= {WHOLE_UNIT_LIMIT} then cast({x} as double) end){window}"
-    scaled = f"cast({whole} as double) / 1e{places}D"
-    return f"case when {loose} is null then {scaled} else coalesce({scaled}, 0D) + {loose} end"
+    held = f"try_cast({x} as {ACCUMULATOR})"
+    plain = f"sum(cast({x} as double)){window}"
+    return (f"case when count({held}){window} = count({x}){window} "
+            f"then coalesce(cast(try_sum({held}){window} as double), {plain}) else {plain} end")
 
 
-def exact_avg(x: str, places: int = 4, over: str = "") -> str:
+def exact_avg(x: str, over: str = "") -> str:
     """Mean of the non-NULL values, built on :func:`exact_sum`."""
     window = f" over ({over})" if over else ""
-    return f"({exact_sum(x, places, over)}) / nullif(count({x}){window}, 0)"
+    return f"({exact_sum(x, over)}) / nullif(count({x}){window}, 0)"
 
 
 def ratio_if_positive(num: str, den: str) -> str:

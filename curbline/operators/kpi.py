@@ -12,8 +12,6 @@ from curbline.functions.trip import hour_timestamp
 
 HOUR_KEYS = ("pickup_date", "pickup_hour", "pickup_borough")
 SEVEN_DAYS = 7 * 24 * 3600
-# Ratios have more digits than money; their means are taken at this many places.
-RATIO_PLACES = 6
 
 
 def hourly_kpis(trips: DataFrame, keys: Sequence[str] = HOUR_KEYS) -> DataFrame:
@@ -26,9 +24,9 @@ def hourly_kpis(trips: DataFrame, keys: Sequence[str] = HOUR_KEYS) -> DataFrame:
         "trip_count": "count(1)",
         "total_revenue": exact_sum("total_amount"),
         "avg_fare": exact_avg("fare_amount"),
-        "avg_distance_mi": exact_avg("trip_distance", RATIO_PLACES),
-        "avg_duration_min": exact_avg("trip_duration_min", RATIO_PLACES),
-        "avg_tip_rate": exact_avg("tip_rate", RATIO_PLACES),
+        "avg_distance_mi": exact_avg("trip_distance"),
+        "avg_duration_min": exact_avg("trip_duration_min"),
+        "avg_tip_rate": exact_avg("tip_rate"),
         "airport_trips": "sum(cast(is_airport_trip as bigint))",
         "weekend_trips": "sum(cast(is_weekend as bigint))",
         "unique_pickup_zones": "count(distinct PULocationID)",

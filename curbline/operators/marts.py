@@ -85,12 +85,12 @@ def union_staged(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def with_trip_key(trips: DataFrame, large: DataFrame | None = None) -> DataFrame:
+def with_trip_key(trips: DataFrame) -> DataFrame:
     """Surrogate key over the natural key and a running number among its copies.
 
     Copies keep their rows; the number only tells their keys apart.
     """
-    numbered = add_ordinal(trips, NATURAL_KEY, ("total_amount", "tip_amount"), "_ordinal", large)
+    numbered = add_ordinal(trips, NATURAL_KEY, ("total_amount", "tip_amount"), "_ordinal")
     kept = [c for c in numbered.columns if c != "_ordinal"]
     return numbered.selectExpr(*kept, f"{ft.natural_key_hash(NATURAL_KEY, '_ordinal')} as trip_id")
 
@@ -159,9 +159,9 @@ def mart_hourly(fact: DataFrame, locations: DataFrame, days: DataFrame,
     measures = {
         "trip_count": "count(1)",
         "total_passengers": "sum(cast(passenger_count as bigint))",
-        "total_distance_miles": exact_sum("trip_distance_miles", 6),
-        "avg_distance_miles": exact_avg("trip_distance_miles", 6),
-        "avg_duration_minutes": f"({exact_avg('trip_duration_seconds', 0)}) / 60D",
+        "total_distance_miles": exact_sum("trip_distance_miles"),
+        "avg_distance_miles": exact_avg("trip_distance_miles"),
+        "avg_duration_minutes": f"({exact_avg('trip_duration_seconds')}) / 60D",
         "median_duration_minutes": "approx_percentile(trip_duration_seconds, 0.5D) / 60D",
         "avg_speed_mph": exact_avg("avg_speed_mph"),
         "total_fare": exact_sum("fare_amount"),

@@ -1,42 +1,20 @@
-"""Running number inside a group, also for groups too large for one task."""
+"""Running number inside a group, whatever the size of the group."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.session import ready_to_checkpoint
+from curbline.session import scratch_path
 
-# A window sorts a whole group in one task. Groups above this many rows are split.
-LARGE_GROUP_ROWS = 5_000_000
-# At most this many groups are split; any other group holds less than one part in
-# this many of the rows, which is no more than a usual task's share.
-MAX_LARGE_GROUPS = 10_000
-SAMPLE_FRACTION = 0.01
-# Copies of one row are written out this many at a time.
-COPIES_PER_TASK = 1_000_000
+# Rows per slice of the sorted table; one task numbers one slice of a group.
+SLICE_ROWS = 1_000_000
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], rows: int = LARGE_GROUP_ROWS,
-                 fraction: float = SAMPLE_FRACTION, seed: int = 7) -> DataFrame:
-    """Keys estimated to hold at least ``rows`` rows, as a small literal frame.
-
-    Runs one job on a sample that reads the key columns only. The largest
-    MAX_LARGE_GROUPS are returned, whatever the size of the data; a group left
-    out is numbered by the plain window, so it costs time, not correctness.
-    """
-    floor = max(1, int(rows * fraction / 2))
-    counted = df.select(*keys)
-    if fraction < 1.0:
-        counted = counted.sample(fraction, seed)
-    found = counted.groupBy(*keys).count().where(F.col("count") >= floor)
-    top = found.orderBy(F.desc("count")).limit(MAX_LARGE_GROUPS).drop("count")
-    return df.sparkSession.createDataFrame(top.collect(), top.schema)
-
-
-def _same_key(left: str, right: str, keys: Sequence[str]):
+def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     both = F.lit(True)
     for k in keys:
         both = both & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
@@ -44,67 +22,50 @@ def _same_key(left: str, right: str, keys: Sequence[str]):
 
 
 def add_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordinal",
-                large: DataFrame | None = None, slices: int | None = None) -> DataFrame:
-    """Number the rows of each group 1..n by ``order``, then by the other columns.
-
-    No row is dropped. ``large`` lists the groups to split (see
-    :func:`large_groups`); without it a plain window numbers every group.
+                slices: int | None = None) -> DataFrame:
+    """Number the rows of each group 1..n (a long) by ``order``, then by the other columns.
+
+    No row is dropped and no group meets in one task. The rows are sorted by
+    range into slices, which cut a large group wherever its order asks for it;
+    rows are numbered per group and slice, and a group that lies in several
+    slices is shifted by the counts of the earlier ones. Equal rows are told
+    apart by a task number and a count within that task, so that copies can be
+    cut as well. Builds one table in the shared scratch folder: both later steps
+    must see the same cuts. ``slices`` follows from a count unless it is given.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    total_order = [*order, *rest]
-    if large is None or large.isEmpty():
-        return _plain(df, keys, total_order, name)
-    hot = F.broadcast(large).alias("hot")
-    usual = df.alias("t").join(hot, _same_key("t", "hot", keys), "left_anti")
-    split = df.alias("t").join(hot, _same_key("t", "hot", keys), "left_semi")
-    return _plain(usual, keys, total_order, name).unionByName(
-        _in_slices(split, keys, total_order, name, slices)
-    )
-
-
-def _plain(df: DataFrame, keys: Sequence[str], total_order: Sequence[str], name: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*total_order)
-    return df.withColumn(name, F.row_number().over(w))
-
-
-def _in_slices(df: DataFrame, keys: Sequence[str], total_order: Sequence[str], name: str,
-               slices: int | None) -> DataFrame:
-    """Numbers for large groups: range slices, local numbers, then slice offsets.
-
-    Equal rows are counted first, since no ordering can split them. Sorting by
-    range cuts a group into slices that follow its order; the slices are
-    checkpointed because two later steps must see the same cuts.
+    spark, columns = df.sparkSession, df.columns
+    rest = [c for c in columns if c not in keys and c not in order]
+    if slices is None:
+        slices = max(spark.sparkContext.defaultParallelism, math.ceil(df.count() / SLICE_ROWS))
+    # Folding within a task gives every copy a number that a repeated task gives again.
+    counted = df.withColumn("_task", F.spark_partition_id()).groupBy(*columns, "_task").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    single = counted.withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)"))).drop("_copies")
+    total_order = [*order, *rest, "_task", "_copy"]
+    path = scratch_path(spark, "slices")
+    single.repartitionByRange(slices, *keys, *total_order).withColumn(
+        "_slice", F.spark_partition_id()).write.parquet(path)
+    cut = spark.read.parquet(path)
+    local = cut.withColumn("_number", F.row_number().over(
+        Window.partitionBy(*keys, "_slice").orderBy(*total_order)).cast("long"))
+    shifts = F.broadcast(_shifts(cut, keys)).alias("s")
+    shifted = local.alias("t").join(
+        shifts, _same_key("t", "s", keys) & (F.col("t._slice") == F.col("s._slice")), "left")
+    return shifted.select(*[F.col(f"t.{c}") for c in columns],
+                          (F.col("_number") + F.coalesce(F.col("_before"), F.lit(0))).alias(name))
+
+
+def _shifts(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, slice, rows before) for groups that lie in several slices.
+
+    Such a group holds the first or the last row of a slice, so there are at most
+    two rows here per slice, which is two for a million rows of data.
     """
-    ready_to_checkpoint(df.sparkSession)
-    columns = df.columns
-    folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    parts = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = (
-        folded.repartitionByRange(parts, *keys, *total_order)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    # At most one row per large key and slice border, hence small.
-    by_slice = cut.groupBy(*keys, "_slice").agg(F.sum("_copies").alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = by_slice.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*total_order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    local = cut.withColumn("_ahead", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-    placed = local.alias("l").join(
-        F.broadcast(offsets.drop("_rows")).alias("o"),
-        _same_key("l", "o", keys) & (F.col("l._slice") == F.col("o._slice")),
-    ).select(
-        *[F.col(f"l.{c}") for c in columns], F.col("_copies"),
-        (F.col("_ahead") + F.col("_before")).alias("_start"),
-    )
-    runs = placed.withColumn(
-        "_run", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES_PER_TASK)))
-    ).repartition(parts, "_start", "_run")
-    last = F.least(F.col("_run") + COPIES_PER_TASK, F.col("_copies"))
-    return runs.withColumn("_step", F.explode(F.sequence(F.col("_run") + 1, last))).select(
-        *columns, (F.col("_start") + F.col("_step")).cast("int").alias(name)
-    )
+    group = F.struct(*keys)
+    ends = cut.groupBy("_slice").agg(F.min(group).alias("low"), F.max(group).alias("high"))
+    border = ends.select("_slice", F.explode(F.array("low", "high")).alias("k")).distinct()
+    split = border.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k.*")
+    inside = cut.alias("c").join(F.broadcast(split.alias("b")), _same_key("c", "b", keys), "left_semi")
+    sizes = inside.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")

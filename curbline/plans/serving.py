@@ -17,7 +17,6 @@ from curbline.functions.calendar import iso_day_of_week
 from curbline.functions.numeric import exact_avg, exact_sum, round_to
 from curbline.functions.trip import text_list
 from curbline.operators.clean import month_fence
-from curbline.operators.kpi import RATIO_PLACES
 from curbline.operators.marts import borough_group
 from curbline.operators.quality import one_day
 from curbline.operators.ranking import (
@@ -66,9 +65,9 @@ def monthly_volume(mart: DataFrame) -> DataFrame:
 
 
 def avg_fare_by_group(kpi: DataFrame, weighted: bool = False) -> DataFrame:
-    mean = exact_avg("avg_fare", RATIO_PLACES)
+    mean = exact_avg("avg_fare")
     if weighted:
-        mean = f"({exact_sum('(avg_fare * trip_count)', RATIO_PLACES)}) / sum(trip_count)"
+        mean = f"({exact_sum('(avg_fare * trip_count)')}) / sum(trip_count)"
     return grouped(with_borough_group(kpi), "borough_group", avg_fare=mean)
 
 
@@ -88,7 +87,7 @@ def volume_heatmap(mart: DataFrame) -> DataFrame:
 def fare_heatmap(kpi: DataFrame) -> DataFrame:
     """Mean fare per hour and day of week."""
     dated = kpi.selectExpr("pickup_hour", f"{iso_day_of_week('pickup_date')} as day_of_week", "avg_fare")
-    return grouped(dated, "pickup_hour", "day_of_week", avg_fare=exact_avg("avg_fare", RATIO_PLACES))
+    return grouped(dated, "pickup_hour", "day_of_week", avg_fare=exact_avg("avg_fare"))
 
 
 def revenue_by_group(mart: DataFrame, kpi: DataFrame, k: int = 20) -> DataFrame:
@@ -126,7 +125,7 @@ def revenue_per_mile_by_group(kpi: DataFrame) -> DataFrame:
     """Mean revenue per mile, largest first."""
     out = grouped(
         with_borough_group(kpi), "borough_group",
-        revenue_per_mile=exact_avg("revenue_per_mile", RATIO_PLACES),
+        revenue_per_mile=exact_avg("revenue_per_mile"),
     )
     return out.orderBy(F.desc("revenue_per_mile"), "borough_group")
 
@@ -134,7 +133,7 @@ def revenue_per_mile_by_group(kpi: DataFrame) -> DataFrame:
 def big_numbers(kpi: DataFrame) -> DataFrame:
     """Means of the hourly means: fare, distance, duration."""
     names = ("avg_fare", "avg_distance_mi", "avg_duration_min")
-    return grouped(kpi, **{n: exact_avg(n, RATIO_PLACES) for n in names})
+    return grouped(kpi, **{n: exact_avg(n) for n in names})
 
 
 def trips_by_hour(mart: DataFrame) -> DataFrame:
@@ -245,7 +244,7 @@ def score_summary(scored: DataFrame, latency: str, by: Sequence[str] = ("case_id
     """Pass rate, mean precision and nearest-rank latencies per run."""
     rates = grouped(
         scored, *by, pass_rate="sum(cast(passed as bigint)) / count(1)",
-        precision_mean=exact_avg("precision", RATIO_PLACES),
+        precision_mean=exact_avg("precision"),
     )
     ranks: Mapping[str, float] = {"latency_p50": 0.5, "latency_p95": 0.95}
     return rates.join(nearest_rank(scored, by, latency, ranks), list(by), "left")

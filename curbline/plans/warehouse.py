@@ -19,9 +19,9 @@ def staged(feeds: Mapping[str, DataFrame]) -> DataFrame:
     return marts.union_staged([marts.stage_trips(df, cab) for cab, df in feeds.items()])
 
 
-def fact(feeds: Mapping[str, DataFrame], large: DataFrame | None = None) -> DataFrame:
+def fact(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """The fact with its surrogate key."""
-    return marts.fact_trips(marts.with_trip_key(staged(feeds), large))
+    return marts.fact_trips(marts.with_trip_key(staged(feeds)))
 
 
 def hourly(feeds: Mapping[str, DataFrame], zones: DataFrame, start: date | str, end: date | str,

@@ -219,12 +219,17 @@ gold as (
 )"""
 
 
-def exact_sum_sql(x: str, places: int = 4) -> str:
-    return f"(cast(sum(cast(({x}) * 1e{places} as bigint)) as double) / 1e{places})"
+def decimal_sql(x: str) -> str:
+    """The shortest text of a number as a decimal; a direct cast would go through a rounded double."""
+    return f"cast(cast({x} as varchar) as decimal(38, 12))"
 
 
-def exact_avg_sql(x: str, places: int = 4) -> str:
-    return f"({exact_sum_sql(x, places)} / count({x}))"
+def exact_sum_sql(x: str, over: str = "") -> str:
+    return f"cast(cast(sum({decimal_sql(x)}){over} as varchar) as double)"
+
+
+def exact_avg_sql(x: str, over: str = "") -> str:
+    return f"({exact_sum_sql(x, over)} / count({x}){over})"
 
 
 _KPI_SQL = f"""
@@ -233,9 +238,9 @@ hours as (
     count(*) as trip_count,
     {exact_sum_sql('total_amount')} as total_revenue,
     {exact_avg_sql('fare_amount')} as avg_fare,
-    {exact_avg_sql('trip_distance', 6)} as avg_distance_mi,
-    {exact_avg_sql('trip_duration_min', 6)} as avg_duration_min,
-    {exact_avg_sql('tip_rate', 6)} as avg_tip_rate,
+    {exact_avg_sql('trip_distance')} as avg_distance_mi,
+    {exact_avg_sql('trip_duration_min')} as avg_duration_min,
+    {exact_avg_sql('tip_rate')} as avg_tip_rate,
     cast(sum(cast(is_airport_trip as bigint)) as bigint) as airport_trips,
     cast(sum(cast(is_weekend as bigint)) as bigint) as weekend_trips,
     count(distinct PULocationID) as unique_pickup_zones
@@ -248,8 +253,7 @@ stamped as (
 kpi as (
   select *,
     cast(sum(trip_count) over w as double) / count(trip_count) over w as rolling_7d_trips,
-    cast(sum(cast(total_revenue * 1e4 as bigint)) over w as double) / 1e4
-      / count(total_revenue) over w as rolling_7d_revenue,
+    {exact_avg_sql('total_revenue', ' over w')} as rolling_7d_revenue,
     case when avg_distance_mi > 0 then avg_fare / avg_distance_mi end as revenue_per_mile
   from stamped
   window w as (partition by pickup_borough order by epoch(pickup_datetime_hour)
@@ -365,9 +369,9 @@ grouped as (
   select pickup_date, pickup_hour, cab_type, borough_group, is_airport, is_manhattan_cbd,
     count(*) as trip_count,
     cast(sum(passenger_count) as bigint) as total_passengers,
-    round({exact_sum_sql('trip_distance_miles', 6)}, 2) as total_distance_miles,
-    round({exact_avg_sql('trip_distance_miles', 6)}, 3) as avg_distance_miles,
-    round({exact_avg_sql('trip_duration_seconds', 0)} / 60e0, 2) as avg_duration_minutes,
+    round({exact_sum_sql('trip_distance_miles')}, 2) as total_distance_miles,
+    round({exact_avg_sql('trip_distance_miles')}, 3) as avg_distance_miles,
+    round({exact_avg_sql('trip_duration_seconds')} / 60e0, 2) as avg_duration_minutes,
     round(quantile_disc(trip_duration_seconds, 0.5) / 60e0, 2) as median_duration_minutes,
     round({exact_avg_sql('avg_speed_mph')}, 2) as avg_speed_mph,
     round({exact_sum_sql('fare_amount')}, 2) as total_fare,

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from curbline.functions.numeric import exact_sum
 from curbline.operators import clean, enrich, incremental, kpi, marts, quality, ranking
 from curbline.operators.joins import dim_join, orphans
-from curbline.operators.ordinal import large_groups
 from curbline.plans import serving, warehouse
 from curbline.schema import differences_frame
 from curbline.session import scratch_path
@@ -262,15 +261,15 @@ def kpi_rolling_7d(spark, sf):
     return kpis(spark, sf)
 
 
-@query("kpi_rolling_events", """
+@query("kpi_rolling_events", f"""
 with h as (
   select event_type, date_trunc('hour', ts) as hour_start, count(*) as n,
-    cast(sum(cast(value * 1e4 as bigint)) as double) / 1e4 as total
+    {exact_sum_sql('value')} as total
   from events group by all
 )
 select event_type, hour_start, n, total,
   cast(sum(n) over w as double) / count(n) over w as rolling_n,
-  cast(sum(cast(total * 1e4 as bigint)) over w as double) / 1e4 / count(total) over w as rolling_total
+  {exact_avg_sql('total', ' over w')} as rolling_total
 from h window w as (partition by event_type order by epoch(hour_start)
   range between 604800 preceding and current row)""")
 def kpi_rolling_events(spark, sf):
@@ -291,8 +290,7 @@ def stage_trips(spark, sf):
 
 @query("union_keyed", with_sql(*ad.KEYED, final="select * from keyed"))
 def union_keyed(spark, sf):
-    staged = warehouse.staged(typed(spark, sf))
-    return marts.with_trip_key(staged, large_groups(staged, marts.NATURAL_KEY))
+    return marts.with_trip_key(warehouse.staged(typed(spark, sf)))
 
 
 @query("mart_fact", with_sql(*ad.KEYED_FACT, final="select * from fact"))
@@ -749,7 +747,7 @@ def serve_monthly_volume(spark, sf):
 
 
 @query("serve_avg_fare_by_group", _kpi_sql(f"""
-select {_GROUP_SQL} as borough_group, {exact_avg_sql('avg_fare', 6)} as avg_fare from kpi group by all"""))
+select {_GROUP_SQL} as borough_group, {exact_avg_sql('avg_fare')} as avg_fare from kpi group by all"""))
 def serve_avg_fare_by_group(spark, sf):
     return serving.avg_fare_by_group(hours(spark, sf))
 
@@ -774,7 +772,7 @@ def serve_volume_heatmap(spark, sf):
 
 @query("serve_fare_heatmap", _kpi_sql(f"""
 select pickup_hour, cast(isodow(pickup_date) as integer) as day_of_week,
-  {exact_avg_sql('avg_fare', 6)} as avg_fare from kpi group by all"""))
+  {exact_avg_sql('avg_fare')} as avg_fare from kpi group by all"""))
 def serve_fare_heatmap(spark, sf):
     return serving.fare_heatmap(hours(spark, sf))
 
@@ -785,7 +783,7 @@ select m.*, k.avg_fare from (
   select borough_group, cast(sum(trip_count) as bigint) as trips,
     {exact_sum_sql('total_revenue')} as revenue, {exact_avg_sql('avg_duration_minutes')} as avg_duration
   from mart group by all) m
-left join (select {_GROUP_SQL} as borough_group, {exact_avg_sql('avg_fare', 6)} as avg_fare
+left join (select {_GROUP_SQL} as borough_group, {exact_avg_sql('avg_fare')} as avg_fare
   from kpi group by all) k on m.borough_group = k.borough_group
 order by revenue desc, m.borough_group limit 20"""))
 def serve_revenue_by_group(spark, sf):
@@ -824,15 +822,15 @@ def serve_weekend_split(spark, sf):
 
 
 @query("serve_revenue_per_mile", _kpi_sql(f"""
-select {_GROUP_SQL} as borough_group, {exact_avg_sql('revenue_per_mile', 6)} as revenue_per_mile
+select {_GROUP_SQL} as borough_group, {exact_avg_sql('revenue_per_mile')} as revenue_per_mile
 from kpi group by all"""))
 def serve_revenue_per_mile(spark, sf):
     return serving.revenue_per_mile_by_group(kpis(spark, sf))
 
 
 @query("serve_big_numbers", _kpi_sql(f"""
-select {exact_avg_sql('avg_fare', 6)} as avg_fare, {exact_avg_sql('avg_distance_mi', 6)} as avg_distance_mi,
-  {exact_avg_sql('avg_duration_min', 6)} as avg_duration_min from kpi"""))
+select {exact_avg_sql('avg_fare')} as avg_fare, {exact_avg_sql('avg_distance_mi')} as avg_distance_mi,
+  {exact_avg_sql('avg_duration_min')} as avg_duration_min from kpi"""))
 def serve_big_numbers(spark, sf):
     return serving.big_numbers(hours(spark, sf))
 
@@ -844,7 +842,7 @@ def serve_trips_by_hour(spark, sf):
 
 
 @query("serve_daily_revenue_trend", _mart_sql(f"""
-select *, cast(sum(cast(revenue * 1e4 as bigint)) over w as double) / 1e4 / count(revenue) over w
+select *, {exact_avg_sql('revenue', ' over w')}
   as rolling_revenue
 from (select cab_type, pickup_date, {exact_sum_sql('total_revenue')} as revenue from mart group by all)
 window w as (partition by cab_type order by pickup_date rows between 6 preceding and current row)"""))
@@ -1001,7 +999,7 @@ ranked as (
 )""", final=f"""
 select s.case_id, s.pass_rate, s.precision_mean, r.latency_p50, r.latency_p95
 from (select case_id, cast(sum(cast(passed as bigint)) as double) / count(*) as pass_rate,
-    {exact_avg_sql('precision', 6)} as precision_mean from scored group by all) s
+    {exact_avg_sql('precision')} as precision_mean from scored group by all) s
 join (select case_id,
     min(answer_length) filter (where i = least(cast(floor(n * 0.5e0) as bigint), n - 1)) as latency_p50,
     min(answer_length) filter (where i = least(cast(floor(n * 0.95e0) as bigint), n - 1)) as latency_p95

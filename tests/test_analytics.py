@@ -42,6 +42,13 @@ def test_sum_of_extremes_and_nulls(spark):
     assert math.isnan(nan.first().s)
 
 
+@pytest.mark.parametrize("x,rows", [(0.00004, 1000), (999_999_999.0, 20_000), (2 / 3, 3), (1e25, 40)])
+def test_sums_keep_small_and_large_values(spark, x, rows):
+    df = spark.range(rows).selectExpr(f"{x!r}D as x")
+    row = df.selectExpr(f"{exact_sum('x')} as s", f"{exact_avg('x')} as a").first()
+    assert row.s == pytest.approx(x * rows, rel=1e-11) and row.a == pytest.approx(x, rel=1e-11)
+
+
 def test_rolling_window_edges(spark):
     start = datetime(2023, 1, 1)
     rows = [("a", start, 10), ("a", start + timedelta(days=7), 20), ("a", start + timedelta(days=7, seconds=1), 30),

@@ -1,11 +1,14 @@
-"""Numbering of groups too large for one task, against a plain window."""
+"""Numbering by sorted slices, against a plain window."""
 
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from curbline.operators import ordinal
+from curbline.operators import marts, ordinal
+from curbline.plans import warehouse
+from curbline.workload import catalogue
 
 
 def frame(spark):
@@ -21,47 +24,40 @@ def counted(df):
     return Counter(tuple(r) for r in df.select("k", "total", "tip", "rest", "ordinal").collect())
 
 
-@pytest.mark.parametrize("slices", [1, 5, 16])
-def test_split_groups_equal_plain_window(spark, slices):
+@pytest.mark.parametrize("slices", [1, 5, 64])
+def test_slices_equal_plain_window(spark, slices):
     df = frame(spark)
-    plain = counted(ordinal.add_ordinal(df, ["k"], ["total", "tip"]))
-    large = ordinal.large_groups(df, ["k"], rows=200, fraction=1.0)
-    assert {r.k for r in large.collect()} == {"hot", None}
-    split = counted(ordinal.add_ordinal(df, ["k"], ["total", "tip"], large=large, slices=slices))
-    assert split == plain
-
-
-def test_copies_are_written_in_runs(spark, monkeypatch):
-    monkeypatch.setattr(ordinal, "COPIES_PER_TASK", 7)
-    df = spark.createDataFrame([("a", 1)] * 100 + [("a", 2)] * 50, "k string, v int")
-    large = spark.createDataFrame([("a",)], "k string")
-    out = ordinal.add_ordinal(df, ["k"], ["v"], large=large, slices=3)
+    plain = df.withColumn("ordinal", F.row_number().over(
+        Window.partitionBy("k").orderBy("total", "tip", "rest")).cast("long"))
+    made = ordinal.add_ordinal(df, ["k"], ["total", "tip"], slices=slices)
+    assert dict(made.dtypes)["ordinal"] == "bigint"
+    assert counted(made) == counted(plain)
+
+
+def test_copies_of_one_row_are_cut(spark):
+    df = spark.createDataFrame([("a", 1)] * 100 + [("a", 2)] * 50, "k string, v int").repartition(3)
+    out = ordinal.add_ordinal(df, ["k"], ["v"], slices=7)
     got = sorted((r.ordinal, r.v) for r in out.collect())
     assert got == [(i, 1) for i in range(1, 101)] + [(i, 2) for i in range(101, 151)]
 
 
-def test_no_large_group_means_one_window(spark):
-    df = frame(spark)
-    none = ordinal.large_groups(df, ["k"])
-    assert none.isEmpty()
-    out = ordinal.add_ordinal(df, ["k"], ["total"], large=none)
-    assert out.count() == df.count()
-    assert out.groupBy("k").agg(F.max("ordinal").alias("m"), F.count(F.lit(1)).alias("n")).where("m <> n").isEmpty()
+def test_many_groups_that_span_slices(spark):
+    df = spark.range(12_000).selectExpr("id % 30 as k", "id div 90 as v", "id % 3 as w")
+    out = ordinal.add_ordinal(df, ["k"], ["v"], slices=64)
+    bad = out.groupBy("k").agg(F.max("ordinal").alias("m"), F.count(F.lit(1)).alias("n"),
+                               F.count_distinct("ordinal").alias("u")).where("m <> n or u <> n")
+    assert bad.isEmpty() and out.count() == 12_000
 
 
-def test_keys_stay_unique_when_one_trip_is_copied_a_third_of_the_time(spark, sf):
-    from curbline.operators import marts
-    from curbline.plans import warehouse
-    from curbline.workload import catalogue
+def test_empty_frame(spark):
+    assert ordinal.add_ordinal(spark.range(0).selectExpr("id as k", "id as v"), ["k"], ["v"]).count() == 0
+
 
+def test_keys_stay_unique_when_one_trip_is_copied_a_third_of_the_time(spark, sf):
     staged = warehouse.staged(catalogue.typed(spark, sf))
     first = staged.orderBy(*staged.columns).limit(1)
     copies = first.selectExpr("*", "explode(sequence(1, 2000)) as _copy").drop("_copy")
     skewed = staged.unionByName(copies)
-    large = ordinal.large_groups(skewed, marts.NATURAL_KEY, rows=500, fraction=1.0)
-    assert large.count() == 1
-    keyed = marts.with_trip_key(skewed, large)
-    plan = keyed._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "BroadcastHashJoin" in plan
+    keyed = marts.with_trip_key(skewed)
     ids = keyed.agg(F.count("trip_id").alias("n"), F.count_distinct("trip_id").alias("u")).first()
     assert ids.n == ids.u == skewed.count()
