@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,12 @@ def lookback(df: DataFrame, day: str, as_of: date | str, days: int = LOOKBACK_DA
     return df.where(F.col(day) >= bound)
 
 
+def since(df: DataFrame, clock: str, as_of: date | str, days: int = LOOKBACK_DAYS) -> DataFrame:
+    """The same look-back as a bound on a clock column, which a Parquet scan can use."""
+    first = date.fromisoformat(str(as_of)) - timedelta(days=days)
+    return df.where(F.col(clock) >= F.expr(f"timestamp_ntz '{first} 00:00:00'"))
+
+
 def scope(df: DataFrame, predicate: str) -> DataFrame:
     """Limit a reprocessing run to the rows of a SQL predicate."""
     return df.where(F.expr(predicate))

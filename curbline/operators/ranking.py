@@ -94,8 +94,8 @@ def capped(df: DataFrame, rows: int) -> DataFrame:
 
 
 def search_rows(df: DataFrame, text: str, columns: Sequence[str] | None = None,
-                regex: bool = False) -> DataFrame:
-    """Rows where any column's text contains the words (or matches the pattern), ignoring case."""
+                regex: bool = True) -> DataFrame:
+    """Rows where any column's text matches the pattern, ignoring case; without ``regex``, contains the words."""
     hit = F.lit(False)
     for c in columns or df.columns:
         shown = F.col(f"`{c}`").cast("string")

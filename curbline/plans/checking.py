@@ -45,6 +45,7 @@ def check_partition(fact: DataFrame, partition: str, keys: Sequence[str], report
     rows = results.collect()
     kept = fact.sparkSession.createDataFrame(rows, results.schema)
     write_report(kept, report_path, SUITE_NAME, partition)
+    write_report(quality.summary(kept), f"{report_path}-totals", SUITE_NAME, partition)
     failed = [r for r in rows if not r.success]
     critical = tuple(r.check_id for r in failed if r.severity == quality.CRITICAL)
     empty = rows[0].element_count == 0 if rows else True

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curbline.operators.clean import cleanse
 from curbline.operators.enrich import enrich, union_evolved
 from curbline.operators.kpi import hourly_kpis, with_rolling_week
-from curbline.schema import GOLD_FACT, GOLD_KPI, PARTITION_KEYS, SILVER
+from curbline.schema import GOLD_FACT, GOLD_KPI, PARTITION_KEYS, SILVER, assert_schema
 from curbline.sources.readers import path_exists, read_feed, read_month
 from curbline.sources.sinks import replace_partition
 
@@ -63,5 +63,6 @@ def run_month(spark: SparkSession, root: str, year: int, month: int, zones: Data
     enriched = replace_partition(enrich(trips, zones), f"{root}/gold/fact_trips", target, GOLD_FACT)
     fact = read_month(spark, f"{root}/gold/fact_trips", year, month)
     earlier = week_before(spark, f"{root}/gold/hourly_kpis", year, month) if carry_week else None
-    kpi = replace_partition(kpi_rows(fact, earlier), f"{root}/gold/hourly_kpis", target, GOLD_KPI)
+    hours = assert_schema(kpi_rows(fact, earlier), GOLD_KPI, PARTITION_KEYS)
+    kpi = replace_partition(hours, f"{root}/gold/hourly_kpis", target, GOLD_KPI)
     return MonthCounts(clean, enriched, kpi)

@@ -6,9 +6,11 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbline.operators import marts
-from curbline.operators.incremental import LOOKBACK_DAYS, latest_day, lookback
+from curbline.operators.incremental import LOOKBACK_DAYS, latest_day, lookback, since
 from curbline.sources.readers import load_seed
 from curbline.sources.sinks import insert_overwrite
 from curbline.sources.spines import date_spine
@@ -34,16 +36,39 @@ def hourly(feeds: Mapping[str, DataFrame], zones: DataFrame, start: date | str,
     )
 
 
-def refresh(model: DataFrame, path: str, as_of: date | str | None = None,
-            days: int = LOOKBACK_DAYS, full: bool = False) -> None:
-    """Write a model partitioned by pickup date: all of it, or its last days.
+def refresh_fact(feeds: Mapping[str, DataFrame], path: str, as_of: date | str | None = None,
+                 days: int = LOOKBACK_DAYS, full: bool = False, contract: T.StructType | None = None) -> None:
+    """Write the fact by pickup date: all of it, or the last days.
 
-    Late rows inside the look-back are picked up because their days are
-    computed again as a whole.
+    The look-back is put on the staged rows, before they are keyed: copies share
+    their pickup time, so whole groups are in or out and keys do not change.
+    Late rows are picked up because their days are computed again as a whole.
     """
+    trips = staged(feeds)
     if not full:
-        until = as_of or latest_day(model, "pickup_date")
+        until = as_of or latest_day(trips, "pickup_date")
         if until is None:
             return
-        model = lookback(model, "pickup_date", until, days)
-    insert_overwrite(model, path, ["pickup_date"])
+        trips = since(trips, "pickup_at", until, days)
+    insert_overwrite(marts.fact_trips(marts.with_trip_key(trips)), path, ["pickup_date"], contract)
+
+
+def refresh_mart(fact_table: DataFrame, zones: DataFrame, path: str, as_of: date | str | None = None,
+                 days: int = LOOKBACK_DAYS, full: bool = False, contract: T.StructType | None = None) -> None:
+    """Write the hourly mart from the written fact: all of it, or the last days.
+
+    The fact is partitioned by pickup date, so a look-back opens those days only.
+    """
+    if not full:
+        until = as_of or latest_day(fact_table, "pickup_date")
+        if until is None:
+            return
+        fact_table = lookback(fact_table, "pickup_date", until, days)
+    first, last = fact_table.agg(F.min("pickup_date"), F.max("pickup_date")).first()
+    if first is None:
+        return
+    model = marts.mart_hourly(
+        fact_table, marts.dim_location(load_seed(zones)),
+        marts.dim_datetime(date_spine(zones.sparkSession, first, last)),
+    )
+    insert_overwrite(model, path, ["pickup_date"], contract)

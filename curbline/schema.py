@@ -7,43 +7,87 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Column names and types of the published tables.
-_BASE = """
-VendorID bigint, pickup_datetime timestamp, dropoff_datetime timestamp, passenger_count bigint,
-trip_distance double, RatecodeID bigint, store_and_fwd_flag string, PULocationID bigint,
-DOLocationID bigint, payment_type bigint, fare_amount double, extra double, mta_tax double,
-tip_amount double, tolls_amount double, improvement_surcharge double, total_amount double,
-congestion_surcharge double, airport_fee double, cbd_congestion_fee double, ehail_fee double,
-trip_type bigint, trip_duration_min double, speed_mph double, pickup_date date, pickup_hour int,
-pickup_dow int, vehicle_type string, trip_id string
-"""
-_ENRICHED = """
-pickup_borough string, pickup_zone string, pickup_service_zone string, dropoff_borough string,
-dropoff_zone string, payment_type_name string, tip_rate double, is_airport_trip boolean,
-is_weekend boolean, time_of_day string
-"""
-_KPI = """
-pickup_date date, pickup_hour int, pickup_borough string, trip_count bigint, total_revenue double,
-avg_fare double, avg_distance_mi double, avg_duration_min double, avg_tip_rate double,
-airport_trips bigint, weekend_trips bigint, unique_pickup_zones bigint,
-pickup_datetime_hour timestamp, rolling_7d_trips double, rolling_7d_revenue double,
-revenue_per_mile double
-"""
-
-# The type every known raw column is brought to. Clocks carry no zone.
+# Column names and types of the published tables. Clocks carry no zone.
+RAW_COLUMNS = {
+    "VendorID": "long",
+    "pickup_datetime": "timestamp_ntz",
+    "dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "long",
+    "trip_distance": "double",
+    "RatecodeID": "long",
+    "store_and_fwd_flag": "string",
+    "PULocationID": "long",
+    "DOLocationID": "long",
+    "payment_type": "long",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "airport_fee": "double",
+    "cbd_congestion_fee": "double",
+    "ehail_fee": "double",
+    "trip_type": "long",
+}
+DERIVED_COLUMNS = {
+    "trip_duration_min": "double",
+    "speed_mph": "double",
+    "pickup_date": "date",
+    "pickup_hour": "integer",
+    "pickup_dow": "integer",
+    "vehicle_type": "string",
+    "trip_id": "string",
+}
+ENRICHED_COLUMNS = {
+    "pickup_borough": "string",
+    "pickup_zone": "string",
+    "pickup_service_zone": "string",
+    "dropoff_borough": "string",
+    "dropoff_zone": "string",
+    "payment_type_name": "string",
+    "tip_rate": "double",
+    "is_airport_trip": "boolean",
+    "is_weekend": "boolean",
+    "time_of_day": "string",
+}
+KPI_COLUMNS = {
+    "pickup_date": "date",
+    "pickup_hour": "integer",
+    "pickup_borough": "string",
+    "trip_count": "long",
+    "total_revenue": "double",
+    "avg_fare": "double",
+    "avg_distance_mi": "double",
+    "avg_duration_min": "double",
+    "avg_tip_rate": "double",
+    "airport_trips": "long",
+    "weekend_trips": "long",
+    "unique_pickup_zones": "long",
+    "pickup_datetime_hour": "timestamp_ntz",
+    "rolling_7d_trips": "double",
+    "rolling_7d_revenue": "double",
+    "revenue_per_mile": "double",
+}
+
+
+def _table(columns: Mapping[str, str]) -> T.StructType:
+    made = T.StructType()
+    for name, kind in columns.items():
+        made = made.add(name, kind)
+    return made
+
+
+SILVER = _table(RAW_COLUMNS | DERIVED_COLUMNS)
+GOLD_FACT = _table(RAW_COLUMNS | DERIVED_COLUMNS | ENRICHED_COLUMNS)
+GOLD_KPI = _table(KPI_COLUMNS)
+
+# The type every known raw column is brought to; text stays as it is.
 STABLE_TYPES: dict[str, str] = {
-    **dict.fromkeys(("pickup_datetime", "dropoff_datetime"), "timestamp_ntz"),
-    **dict.fromkeys(
-        ("VendorID", "RatecodeID", "payment_type", "passenger_count", "PULocationID", "DOLocationID",
-         "trip_type"),
-        "bigint",
-    ),
-    **dict.fromkeys(
-        ("trip_distance", "fare_amount", "tip_amount", "total_amount", "extra", "mta_tax",
-         "tolls_amount", "improvement_surcharge", "congestion_surcharge", "airport_fee",
-         "cbd_congestion_fee", "ehail_fee"),
-        "double",
-    ),
+    f.name: f.dataType.simpleString() for f in SILVER.fields
+    if f.name in RAW_COLUMNS and f.dataType != T.StringType()
 }
 
 # Raw spellings per feed, and spellings that changed between vintages.
@@ -80,29 +124,6 @@ OPTIONAL_COLUMNS: dict[str, tuple[str, ...]] = {
 PARTITION_KEYS = ("pickup_year", "pickup_month")
 
 
-def _parse(ddl: str) -> T.StructType:
-    fields = []
-    for item in ddl.replace("\n", " ").split(","):
-        name, kind = item.split()
-        fields.append(T.StructField(name, _TYPES[kind], True))
-    return T.StructType(fields)
-
-
-_TYPES: dict[str, T.DataType] = {
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampNTZType(),
-}
-
-SILVER = _parse(_BASE)
-GOLD_FACT = _parse(_BASE + "," + _ENRICHED)
-GOLD_KPI = _parse(_KPI)
-
-
 def schema_gaps(df: DataFrame, contract: T.StructType, ignore: Sequence[str] = ()) -> list[str]:
     """Differences between a frame and a contract, as readable lines; empty when it holds."""
     have = {f.name: f.dataType for f in df.schema.fields if f.name not in ignore}

@@ -70,9 +70,3 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def ready_to_checkpoint(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, keeping a folder already set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -45,22 +45,6 @@ def read_feed(spark: SparkSession, root: str, feed: str, year: int, month: int)
     return spark.read.parquet(f"{root}/bronze/{feed}/{year:04d}-{month:02d}/")
 
 
-# An input below this size may be reshuffled just to use every core.
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def spread(scan: DataFrame, *keys: str, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Give a small table scan as many partitions as there are cores.
-
-    A file with a single row group is read by one task, and everything up to
-    the next shuffle would stay in it. The size is that of the scan's files, as
-    Spark knows it from listing them; larger inputs are left as they are.
-    """
-    if scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > limit:
-        return scan
-    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def read_month(
     spark: SparkSession, path: str, year: int, month: int,
     keys: Sequence[str] = ("pickup_year", "pickup_month"),

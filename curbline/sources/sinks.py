@@ -1,8 +1,10 @@
 """Table writes: partition replacement, incremental overwrite, quarantine, reports.
 
 Partition overwrites use Spark's dynamic mode, which stages the new files and
-swaps whole partition directories when the job commits: a failed job leaves the
-table as it was. The setting is passed per write, never set on the session.
+swaps whole partition directories when the job commits. A job that fails before
+its commit leaves the table as it was; the swap itself is a delete and a rename per
+partition, so a failure there can lose a partition, which writing the batch again
+mends. The setting is passed per write, never set on the session.
 """
 
 from __future__ import annotations
@@ -116,6 +118,10 @@ def materialize(df: DataFrame, name: str, mode: str, path: str | None = None,
         if not path:
             raise ValueError("an incremental model needs the path of its table")
         insert_overwrite(df, path, keys)
+        if not df.sparkSession.catalog.tableExists(name):
+            df.sparkSession.catalog.createTable(name, path, "parquet")
+        if keys:
+            df.sparkSession.catalog.recoverPartitions(name)
     else:
         raise ValueError(f"unknown materialisation {mode!r}")
 

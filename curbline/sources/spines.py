@@ -15,18 +15,20 @@ CONGESTION_FEE_FEEDS = ("yellow", "green", "fhvhv")
 CONGESTION_FEE_FROM = date(2025, 1, 1)
 
 
-def unpublished_months(first: date = date(2026, 1, 1)) -> list[tuple[str, date]]:
-    """(feed, month) pairs never published, from the release rule for one year.
-
-    fhv stops before January, fhvhv after January, the other two after April.
-    """
-    last_month = {"yellow": 4, "green": 4, "fhvhv": 1, "fhv": 0}
-    return [
-        (feed, date(first.year, m, 1))
-        for m in range(1, 13)
-        for feed, last in last_month.items()
-        if m > last
-    ]
+# Months that were never published, per feed.
+UNPUBLISHED = {
+    "yellow": ["2026-05", "2026-06", "2026-07", "2026-08", "2026-09", "2026-10", "2026-11", "2026-12"],
+    "green": ["2026-05", "2026-06", "2026-07", "2026-08", "2026-09", "2026-10", "2026-11", "2026-12"],
+    "fhvhv": ["2026-02", "2026-03", "2026-04", "2026-05", "2026-06", "2026-07", "2026-08", "2026-09",
+              "2026-10", "2026-11", "2026-12"],
+    "fhv": ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05", "2026-06", "2026-07", "2026-08",
+            "2026-09", "2026-10", "2026-11", "2026-12"],
+}
+
+
+def unpublished_months(months: Mapping[str, Sequence[str]] = UNPUBLISHED) -> list[tuple[str, date]]:
+    """(feed, first day) of every month that is never looked for."""
+    return [(feed, date.fromisoformat(f"{m}-01")) for feed, found in months.items() for m in found]
 
 
 def date_spine(spark: SparkSession, start: date | str, end: date | str,

@@ -5,11 +5,12 @@ Money is built from whole cents, so that both engines see the same doubles.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.session import settle
-from curbline.sources.readers import spread
 
 FEED_STATUS = {"yellow": "F", "green": "O"}
 
@@ -61,9 +62,17 @@ _FEED_ONLY_SQL = {
 _RAW_CLOCKS = {"yellow": "tpep_", "green": "lpep_"}
 
 
+def pickup_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """The first and last day a trip can begin: pickups lie up to a day behind their order."""
+    first, last = table(spark, sf_dir, "orders").agg(
+        F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return first, last + timedelta(days=1)
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Both feeds as they would land: feed-specific clock names, vintage spellings."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    # Dealt by the join key at every size: a file with one row group would be read by one task.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders")
     cents = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
         "*",
@@ -335,11 +344,11 @@ locations as (
 )"""
 
 
-def days_sql(start: str, end: str) -> str:
-    return f"""
+_DAYS_SQL = """
 spine as (
-  select cast(d as date) as date_day
-  from generate_series(timestamp '{start}', timestamp '{end}', interval 1 day) t(d)
+  select cast(unnest(generate_series(first_day, last_day, interval 1 day)) as date) as date_day
+  from (select date_trunc('day', min(o_orderdate)) as first_day,
+    date_trunc('day', max(o_orderdate)) + interval 1 day as last_day from orders)
 ),
 days as (
   select date_day, cast(year(date_day) as integer) as year, cast(month(date_day) as integer) as month,
@@ -358,7 +367,6 @@ days as (
 )"""
 
 
-CALENDAR = ("1995-01-01", "2001-12-31")
 
 _MART_SQL = f"""
 placed as (
@@ -405,5 +413,5 @@ KEYED = (*STAGED, _KEYED_SQL)
 FACT = (*STAGED, _fact_sql("staged"))
 KEYED_FACT = (*KEYED, _fact_sql("keyed"))
 LOCATIONS = (_ZONE_SQL, _LOCATION_SQL)
-DAYS = (days_sql(*CALENDAR),)
+DAYS = (_DAYS_SQL,)
 MART = (*FACT, *LOCATIONS, *DAYS, _MART_SQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -12,9 +13,9 @@ from curbline.functions.numeric import exact_sum
 from curbline.operators import clean, enrich, incremental, kpi, marts, quality, ranking
 from curbline.operators.joins import dim_join, orphans
 from curbline.plans import serving, warehouse
-from curbline.schema import differences_frame
+from curbline.schema import PARTITION_KEYS, SILVER, assert_schema, differences_frame
 from curbline.session import scratch_path
-from curbline.sources import readers, sinks, spines
+from curbline.sources import catalog, readers, sinks, spines
 from curbline.workload import adapter as ad
 from curbline.workload.adapter import exact_avg_sql, exact_sum_sql, with_sql
 
@@ -82,12 +83,12 @@ def locations(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_location(readers.load_seed(ad.zones(spark, sf)))
 
 
-def days(spark: SparkSession) -> DataFrame:
-    return marts.dim_datetime(spines.date_spine(spark, *ad.CALENDAR))
+def days(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.dim_datetime(spines.date_spine(spark, *ad.pickup_days(spark, sf)))
 
 
 def mart(spark: SparkSession, sf: str) -> DataFrame:
-    return warehouse.hourly(typed(spark, sf), ad.zones(spark, sf), *ad.CALENDAR)
+    return warehouse.hourly(typed(spark, sf), ad.zones(spark, sf), *ad.pickup_days(spark, sf))
 
 
 SILVER_LIST = """VendorID, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, RatecodeID,
@@ -308,7 +309,7 @@ with bounds as (
   select cast(min(o_orderdate) as date) as first_day, cast(max(o_orderdate) as date) as last_day
   from orders
 ),
-{ad.days_sql(*ad.CALENDAR)}
+{ad._DAYS_SQL}
 select days.* from days join bounds on date_day between first_day and last_day""")
 def dim_datetime(spark, sf):
     first, last = ad.table(spark, sf, "orders").agg(
@@ -433,6 +434,137 @@ def quarantine_partition(spark, sf):
     )
 
 
+@query("raw_month", """
+select o_orderkey, o_orderstatus, o_totalprice from orders
+where year(o_orderdate) = 1997 and month(o_orderdate) = 3""")
+def raw_month(spark, sf):
+    root = scratch_path(spark, "bronze")
+    orders = ad.table(spark, sf, "orders")
+    for month in (3, 4):
+        landed = orders.where((F.year("o_orderdate") == 1997) & (F.month("o_orderdate") == month))
+        landed.write.parquet(f"{root}/bronze/yellow/1997-{month:02d}")
+    return readers.read_feed(spark, root, "yellow", 1997, 3).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@query("table_month", """
+select o_orderkey, o_totalprice, o_orderpriority, cast(year(o_orderdate) as integer) as o_year,
+  cast(month(o_orderdate) as integer) as o_month
+from orders where year(o_orderdate) = 1997 and month(o_orderdate) = 3""")
+def table_month(spark, sf):
+    path = scratch_path(spark, "orders-months")
+    sinks.write_partitioned(_orders_by_month(spark, sf), path, ["o_year", "o_month"])
+    return readers.read_month(spark, path, 1997, 3, ("o_year", "o_month"))
+
+
+@query("csv_zones", with_sql(ad._ZONE_SQL, final="select * from zones"))
+def csv_zones(spark, sf):
+    path = scratch_path(spark, "zones")
+    ad.zones(spark, sf).write.option("header", "true").csv(path)
+    return readers.read_zones(spark, path)
+
+
+@query("feed_of_file", """
+select case when l_linenumber = 6 then null when l_linenumber = 7 then 'fhvhv'
+    when l_linestatus = 'F' then 'yellow' else 'green' end as feed, count(*) as files
+from lineitem group by 1""")
+def feed_of_file(spark, sf):
+    named = ad.table(spark, sf, "lineitem").selectExpr(
+        "concat(case when l_linenumber = 6 then 'zones' when l_linenumber = 7 then 'fhvhv' "
+        "when l_linestatus = 'F' then 'yellow' else 'green' end, '_tripdata_', l_orderkey, '.parquet') as file")
+    return named.groupBy(readers.feed_from_file_name("file").alias("feed")).agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("materialized_models", f"""
+with o as (select o_orderstatus, o_totalprice, cast(year(o_orderdate) as integer) as o_year from orders)
+select kind, o_orderstatus, count(*) as n, {exact_sum_sql('o_totalprice + shift')} as total
+from (select *, unnest(['view', 'table', 'incremental']) as kind from o),
+  (select 100e0 as add_1998) a, lateral (select case when kind = 'incremental' and o_year >= 1998
+    then add_1998 else 0e0 end as shift) s
+group by all""")
+def materialized_models(spark, sf):
+    path, mark = scratch_path(spark, "models"), uuid.uuid4().hex
+    orders = ad.table(spark, sf, "orders").select(
+        "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("o_year"))
+    newer = orders.where("o_year >= 1998").withColumn("o_totalprice", F.col("o_totalprice") + 100)
+    sinks.materialize(orders, f"v_{mark}", "view")
+    sinks.materialize(orders, f"t_{mark}", "table", f"{path}/t", ["o_year"])
+    for batch in (orders, newer):
+        sinks.materialize(batch, f"i_{mark}", "incremental", f"{path}/i", ["o_year"])
+    made = [spark.table(f"{kind[0]}_{mark}").select("o_orderstatus", "o_totalprice", F.lit(kind).alias("kind"))
+            for kind in ("view", "table", "incremental")]
+    return made[0].unionByName(made[1]).unionByName(made[2]).groupBy("kind", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"{exact_sum('o_totalprice')} as total"))
+
+
+@query("catalog_entry", f"""
+select cast(year(o_orderdate) as integer) as o_year, count(*) as n, count(o_orderpriority) as with_priority,
+  {exact_sum_sql('o_totalprice')} as total
+from orders group by 1""")
+def catalog_entry(spark, sf):
+    path, database = scratch_path(spark, "entries"), f"lake_{uuid.uuid4().hex}"
+    orders = _orders_by_month(spark, sf).drop("o_month")
+    narrow = orders.where("o_year < 1998").drop("o_orderpriority")
+    sinks.write_partitioned(narrow, f"{path}/old", ["o_year"])
+    catalog.register_table(spark, database, "orders", f"{path}/old", narrow.schema, {"o_year": "int"})
+    catalog.repair_table(spark, database, "orders")
+    sinks.write_partitioned(orders, f"{path}/new", ["o_year"])
+    catalog.register_table(spark, database, "orders", f"{path}/new", orders.schema, {"o_year": "int"})
+    catalog.repair_table(spark, database, "orders")
+    return spark.table(f"{database}.orders").groupBy("o_year").agg(
+        F.count(F.lit(1)).alias("n"), F.count("o_orderpriority").alias("with_priority"),
+        F.expr(f"{exact_sum('o_totalprice')} as total"))
+
+
+@query("capped_rows", """
+select least(count(*), 1000) as rows, least(count(*), 1000) as keys from lineitem""")
+def capped_rows(spark, sf):
+    lines = ad.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    return ranking.capped(lines, 1000).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("l_orderkey", "l_linenumber").alias("keys"))
+
+
+@query("declared_silver", with_sql(*ad.SANE, final="""
+select vehicle_type, count(*) as trips from silver group by all"""))
+def declared_silver(spark, sf):
+    return assert_schema(silver(spark, sf), SILVER, PARTITION_KEYS).groupBy("vehicle_type").agg(
+        F.count(F.lit(1)).alias("trips"))
+
+
+def _late_feeds(spark, sf):
+    """The feeds without some of the last days' rows, and whole."""
+    whole = typed(spark, sf)
+    newest = incremental.latest_day(warehouse.staged(whole), "pickup_date")
+    early = {f: df.where(f"not (pickup_datetime >= date_sub(date '{newest}', 2) and PULocationID % 3 = 0)")
+             for f, df in whole.items()}
+    return early, whole
+
+
+def _refreshed_fact(spark, sf, path):
+    early, whole = _late_feeds(spark, sf)
+    schema = marts.fact_trips(warehouse.staged(whole).withColumn("trip_id", F.lit(""))).schema
+    warehouse.refresh_fact(early, path, full=True, contract=schema)
+    return whole, schema
+
+
+@query("fact_refresh", with_sql(*ad.KEYED_FACT, final="select * from fact"))
+def fact_refresh(spark, sf):
+    path = scratch_path(spark, "fact-days")
+    whole, schema = _refreshed_fact(spark, sf, path)
+    warehouse.refresh_fact(whole, path, contract=schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("mart_refresh", with_sql(*ad.MART, final="select * from mart"))
+def mart_refresh(spark, sf):
+    fact_path, path = scratch_path(spark, "fact-days"), scratch_path(spark, "mart-days")
+    whole, schema = _refreshed_fact(spark, sf, fact_path)
+    zones = ad.zones(spark, sf)
+    warehouse.refresh_mart(spark.read.schema(schema).parquet(fact_path), zones, path, full=True)
+    warehouse.refresh_fact(whole, fact_path, contract=schema)
+    warehouse.refresh_mart(spark.read.schema(schema).parquet(fact_path), zones, path)
+    return readers.read_evolved(spark, path)
+
+
 _GRID_SQL = """
 grid as (
   select feed, cast(m as date) as month_start
@@ -661,7 +793,7 @@ def dq_constraints_fact(spark, sf):
 def dq_constraints_mart(spark, sf):
     return quality.union_results([
         quality.run_constraints("mart_hourly_kpi", mart(spark, sf)),
-        quality.run_constraints("dim_datetime", days(spark)),
+        quality.run_constraints("dim_datetime", days(spark, sf)),
     ])
 
 

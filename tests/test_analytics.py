@@ -107,7 +107,8 @@ def test_search(spark):
     df = spark.createDataFrame([(1, "Blue Ring"), (22, None), (3, "x")], "a int, b string")
     assert [r.a for r in ranking.search_rows(df, "ring").collect()] == [1]
     assert [r.a for r in ranking.search_rows(df, "2").collect()] == [22]
-    assert ranking.search_rows(df, ".*").isEmpty()
+    assert ranking.search_rows(df, ".*", regex=False).isEmpty()
+    assert ranking.search_rows(df, "ring|^b").count() >= 1
     assert ranking.search_rows(df, "^b", regex=True).count() == 1
 
 

@@ -1,13 +1,16 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from curbline.operators import incremental
+from conftest import SF
+from curbline.operators import incremental, marts
 from curbline.operators.quality import TRIP_SUITE
 from curbline.plans import checking, monthly, warehouse
 from curbline.session import shared_folder
 from curbline.sources import catalog, readers, sinks, spines
 from curbline.streaming import landing
+from curbline.workload import catalogue
 
 
 def months(spark, rows):
@@ -203,13 +206,31 @@ def test_monthly_run_twice_gives_the_same_tables(spark, tmp_path):
 
 def test_mart_refresh_rewrites_recent_days_only(spark, tmp_path):
     path = str(tmp_path / "mart")
-    df = spark.createDataFrame([(d, date(2023, 1, d)) for d in range(1, 11)], "v int, pickup_date date")
-    warehouse.refresh(df, path, full=True)
-    warehouse.refresh(df.selectExpr("v + 100 as v", "pickup_date"), path)
-    got = {r.pickup_date.day: r.v for r in readers.read_evolved(spark, path).collect()}
-    assert got == {d: (d + 100 if d >= 7 else d) for d in range(1, 11)}
-    warehouse.refresh(df.limit(0), path)
-    assert readers.read_evolved(spark, path).count() == 10
+    feeds = catalogue.typed(spark, SF)
+    newest = incremental.latest_day(warehouse.staged(feeds), "pickup_date")
+    schema = marts.fact_trips(warehouse.staged(feeds).withColumn("trip_id", F.lit(""))).schema
+    recent = f"pickup_datetime >= date_sub(date '{newest}', 40)"
+    few = {f: df.where(recent) for f, df in feeds.items()}
+    warehouse.refresh_fact(few, path, full=True, contract=schema)
+    before = {r.trip_id: r.total_amount for r in spark.read.schema(schema).parquet(path).collect()}
+    dearer = {f: df.withColumn("total_amount", F.col("total_amount") + 1) for f, df in few.items()}
+    warehouse.refresh_fact(dearer, path, contract=schema)
+    rows = spark.read.schema(schema).parquet(path).collect()
+    assert len(rows) == len(before) and {r.trip_id for r in rows} == set(before)
+    first = newest - timedelta(days=3)
+    assert all(r.total_amount == before[r.trip_id] + (r.pickup_date >= first) for r in rows)
+    assert any(r.pickup_date < first for r in rows)
+    warehouse.refresh_fact({f: df.limit(0) for f, df in few.items()}, path, contract=schema)
+    assert spark.read.schema(schema).parquet(path).count() == len(before)
+
+
+def test_look_back_reaches_the_scan_below_the_window(spark, tmp_path):
+    for feed, df in catalogue.typed(spark, SF).items():
+        df.write.parquet(f"{tmp_path}/{feed}")
+    feeds = {f: spark.read.parquet(f"{tmp_path}/{f}") for f in ("yellow", "green")}
+    trips = incremental.since(warehouse.staged(feeds), "pickup_at", "1998-07-01")
+    plan = trips._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThanOrEqual(pickup_datetime") >= 2
 
 
 def test_shared_folder_is_stable(spark):
