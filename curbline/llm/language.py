@@ -107,7 +107,8 @@ def _gradient(weights, data, states, kept, into: np.ndarray) -> list[np.ndarray]
     """Backpropagation through time of one direction; ``into`` (T, H, N) is the gradient of its states."""
     table, recurrent = weights
     hidden = recurrent.shape[1]
-    d_table, d_recurrent = np.zeros_like(table), np.zeros_like(recurrent)
+    d_recurrent = np.zeros_like(recurrent)
+    d_given = np.empty((*data.shape, 3 * hidden), table.dtype)
     carried = np.zeros_like(into[0])
     for t in range(len(data) - 1, -1, -1):
         zr, c, inner, slope_zr, slope_c = kept[t]
@@ -119,7 +120,11 @@ def _gradient(weights, data, states, kept, into: np.ndarray) -> list[np.ndarray]
         d_recurrent += d_all @ before.T
         carried = d * (1 - z) + recurrent.T @ d_all
         # The candidate's input is not behind the reset gate.
-        np.add.at(d_table, data[t], np.concatenate([d_zr, d_c]).T)
+        d_given[t] = np.concatenate([d_zr, d_c]).T
+    d_table, seen = np.zeros_like(table), data.ravel()
+    order = np.argsort(seen, kind="stable")
+    found, first = np.unique(seen[order], return_index=True)
+    d_table[found] = np.add.reduceat(d_given.reshape(-1, 3 * hidden)[order], first)
     return [d_table, d_recurrent]
 
 
