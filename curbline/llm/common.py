@@ -24,7 +24,7 @@ def fresh(df: DataFrame, wanted: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -33,6 +33,15 @@ def with_row(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def rows_kept(staged: DataFrame, kept: DataFrame, row: str) -> DataFrame:
+    """The rows of the written table ``staged`` whose unique key ``row`` is in ``kept``.
+
+    A sort-merge join at every size, so that the plan of a small run is the plan of a large one: the
+    list of rows grows with the documents and is not for broadcasting.
+    """
+    return staged.join(kept.hint("merge"), row, "left_semi")
+
+
 def byte_values(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; null is empty."""
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import byte_values, extended, fresh, with_row, written
+from curbline.llm.common import byte_values, extended, fresh, rows_kept, with_row, written
 from curbline.llm.cuckoo import CuckooIndex
 
 DIGESTS = "doc_id bigint, row bigint, digest binary"
@@ -155,4 +155,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     digests = staged.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"),
                             F.col(digest).alias("digest"))
     kept = build_index(digests).select(F.col("keep_row").alias(row))
-    return staged.join(kept, row, "left_semi").select(*docs.columns)
+    return rows_kept(staged, kept, row).select(*docs.columns)

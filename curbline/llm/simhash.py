@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import byte_values, extended, fresh, with_row, written
+from curbline.llm.common import byte_values, extended, fresh, rows_kept, with_row, written
 from curbline.llm.components import components
 
 WORDS, SEED, RADIUS = 3, 42, 3
@@ -232,4 +232,4 @@ def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     prints = staged.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"),
                            F.col(fp).alias("fp"))
     kept = classes(prints, bucket).select(F.col("component_row").alias(row)).distinct()
-    return staged.join(kept, row, "left_semi").select(*docs.columns)
+    return rows_kept(staged, kept, row).select(*docs.columns)
