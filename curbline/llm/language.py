@@ -208,9 +208,16 @@ def held_out(doc_id: Column) -> Column:
 
 def sample_windows(labelled: DataFrame, texts_per_language: int, windows_per_text: int) -> tuple[list, list]:
     """Windows and their languages, for rows (doc_id, text, lang) that may be learned from."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    chosen = labelled.where("lang is not null and text rlike '[a-zA-Z\\\\x{80}-\\\\x{10FFFF}]'").withColumn(
-        "place", F.row_number().over(order)).where(F.col("place") <= texts_per_language)
+    usable = labelled.where("lang is not null and text rlike '[a-zA-Z\\\\x{80}-\\\\x{10FFFF}]'").withColumn(
+        "hash", F.xxhash64("doc_id", "text"))
+    # Up to its bound a language has over ``texts_per_language`` different rows, save by a chance of about 1e-9, and not
+    # many more: the task that ranks them sees these alone, not that many texts from every scan task.
+    wanted = texts_per_language + 6 * texts_per_language ** 0.5 + 40
+    bounds = usable.groupBy("lang").agg((F.lit(2.0 ** 64 * wanted) / F.count(F.lit(1)) - 2.0 ** 63).alias("bound"))
+    # A row per language; the network on the driver has an output for each of them, too.
+    few = usable.join(F.broadcast(bounds), "lang").where(F.col("hash").cast("double") <= F.col("bound"))
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    chosen = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts_per_language)
 
     def cut(batches):
         for given in batches:
