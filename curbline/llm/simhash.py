@@ -43,18 +43,24 @@ BLOCKS = ((0, 21), (21, 42), (42, 64))
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("crowded", pa.bool_())])
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """The 64-bit fingerprint as an unsigned int."""
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``words`` words, repeats included; of the whole sequence if it is shorter."""
     tokens = text.lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     n = max(1, len(tokens) - words + 1)
     last = ends[-n:].tolist()
     first = [0, *(ends[:n - 1] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[i:j], SEED) for i, j in zip(first, last, strict=True)), np.uint64, n)
+    return np.fromiter((digest(joined[i:j], SEED) for i, j in zip(first, last, strict=True)), np.uint64, n)
+
+
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """The 64-bit fingerprint as an unsigned int."""
+    hashes = shingle_hashes(text, words)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 4096):
         bits = np.unpackbits(hashes[at:at + 4096].view(np.uint8), bitorder="little")
