@@ -12,6 +12,10 @@ with the key the permutation can be undone.
 The permutation of a set of n values walks one step along a cycle that a keyed
 Feistel network lays through the set, so no value is replaced by itself.
 
+Values are told apart from the left: a rejected candidate gives way to other kinds at its
+place and then to values that start inside it. Undoing finds the values again by the same scan, so where
+candidates overlap it can go wrong if a pseudonym makes valid one that was not.
+
 Null texts stay null; texts without a value are unchanged; whole texts are
 scanned. Repeated rows are treated each; an empty table gives an empty result;
 all other columns of the input pass through untouched.
@@ -34,18 +38,32 @@ ROUNDS = 8
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
 _SPANS_DDL = "array<struct<kind:string,start:int,length:int>>"
 
-_VALUE = re.compile(r"""(?<![A-Za-z0-9_])(?:
-    (?P<ip>(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))
-  | (?P<iso>\d{4}-\d{2}-\d{2}(?![-\d]))
-  | (?P<dotted>(?<!\d\.)\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d))
-  | (?P<slashed>\d{1,2}/\d{1,2}/\d{4}(?![/\d]))
-  | (?P<ssn>\d{3}-\d{2}-\d{4}(?![-\d]))
-  | (?P<phone>(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)
+# In the order in which they are tried at one place.
+_KINDS = {
+    "ip": r"(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
+    "iso": r"\d{4}-\d{2}-\d{2}(?![-\d])",
+    "dotted": r"(?<!\d\.)\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d)",
+    "slashed": r"\d{1,2}/\d{1,2}/\d{4}(?![/\d])",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?![-\d])",
+    "phone": r"""(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)
       | \+\d{1,3}(?:[ .-]?\d{2,4}){3,4}(?!\d)
-      | \d{3}[ .-]\d{3}[ .-]\d{4}(?![-\d]))
-  | (?P<card>\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})
-  | (?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30})
-)(?![A-Za-z0-9_])""", re.X | re.A)
+      | \d{3}[ .-]\d{3}[ .-]\d{4}(?![-\d])""",
+    "card": r"\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}",
+    "iban": r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}",
+}
+# A time may follow an ISO date.
+_AFTER = {kind: r"(?![A-Za-z0-9_])" for kind in _KINDS} | {"iso": r"(?![A-SU-Za-z0-9_]|T(?!\d))"}
+
+
+def _pattern(kinds) -> re.Pattern:
+    some = "|".join(f"(?P<{kind}>{_KINDS[kind]}){_AFTER[kind]}" for kind in kinds)
+    return re.compile(rf"(?<![A-Za-z0-9_])(?:{some})", re.X | re.A)
+
+
+_VALUE = _pattern(_KINDS)
+# The kinds that are left to try at the place of a rejected candidate.
+_OTHERS = {kind: _pattern(list(_KINDS)[i + 1:]) if i + 1 < len(_KINDS) else None for i, kind in enumerate(_KINDS)}
+_CARD = _pattern(["card"])
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 
@@ -210,31 +228,58 @@ class Pseudonyms:
             return self._fill(text, f"{plain[:2]}{check:02d}{body}")
         return self._characters("email", text)
 
+    def _accepted(self, text: str, m: re.Match) -> tuple | None:
+        """(kind, start, end, pseudonym) of a candidate, or None when it is not valid."""
+        kind, start, end, value = m.lastgroup, m.start(), m.end(), m.group()
+        if kind == "phone":  # the last groups of a phone number may be the first of a card number
+            for i in range(start + 1, end):
+                card = _CARD.match(text, i)
+                if card and card.end() > end and self.value("card", card.group()) is not None:
+                    shorter = _OTHERS["ssn"].match(text, start, len(text[:i].rstrip(" .-")))
+                    return self._accepted(text, shorter) if shorter and shorter.lastgroup == "phone" else None
+        new = self.value(kind, value)
+        while new is None and kind == "iban" and " " in value:  # capitals that follow are no part of it
+            value = value.rpartition(" ")[0]
+            new, end = self.value(kind, value), start + len(value)
+        return None if new is None else (kind, start, end, new)
+
+    def _values(self, text: str, at: int, limit: int):
+        """The valid values that start from ``at`` to before ``limit``, in order. The search goes on behind
+        an accepted value and one character after the start of a rejected candidate."""
+        while (m := _VALUE.search(text, at)) and m.start() < limit:
+            at = m.start() + 1
+            while m:
+                found = self._accepted(text, m)
+                if found:
+                    yield found
+                    at = found[2]
+                    break
+                others = _OTHERS[m.lastgroup]
+                m = others and others.match(text, m.start())
+
     def replace(self, text: str) -> tuple[str, list[tuple]]:
         """The text with its values replaced, and (kind, start, length) of each in the text given."""
-        found = []
-        if "@" in text:
-            at = text.find("@")
-            while at >= 0:
-                domain, local = _DOMAIN.match(text, at), _LOCAL.search(text[max(0, at - 64):at])
-                if domain and local:
-                    found.append((at - len(local.group()), at, "email", local.group()))
-                at = text.find("@", at + 1)
-        found += [(m.start(), m.end(), m.lastgroup, m.group()) for m in _VALUE.finditer(text)]
-        found.sort()
+        locals_ = []
+        at = text.find("@")
+        while at >= 0:
+            domain, local = _DOMAIN.match(text, at), _LOCAL.search(text[max(0, at - 64):at])
+            if domain and local:
+                locals_.append((at - len(local.group()), at))
+            at = text.find("@", at + 1)
         pieces, spans, done = [], [], 0
-        for start, end, kind, value in found:
-            if start < done:
-                continue
-            new = self.value(kind, value)
-            while new is None and kind == "iban" and " " in value:  # capitals that follow are no part of it
-                value = value.rpartition(" ")[0]
-                new, end = self.value(kind, value), start + len(value)
-            if new is None:
-                continue
-            pieces += [text[done:start], new]
+
+        def take(kind: str, start: int, end: int, new: str) -> None:
+            nonlocal done
+            pieces.extend((text[done:start], new))
             spans.append(("date" if kind in ("iso", "dotted", "slashed") else kind, start, end - start))
             done = end
+
+        for start, at in [*locals_, (len(text), len(text))]:
+            for kind, begin, end, new in self._values(text, done, start):
+                take(kind, begin, end, new)
+            start = max(start, done)  # what a value before it has left of a local part
+            if start < at:
+                take("email", start, at, self.value("email", text[start:at]))
         return ("".join([*pieces, text[done:]]) if pieces else text), spans
 
 

@@ -67,6 +67,24 @@ def test_invalid_values_stay():
     assert own.replace(text) == (text, [])
 
 
+def test_values_behind_candidates_are_found():
+    own = pseudonyms.Pseudonyms(KEY)
+    for text, want in {
+        "DE89370400440532013000 SSN 123-45-6789": [("iban", 0, 22), ("ssn", 27, 11)],
+        "AB12 4111 1111 1111 1111": [("card", 5, 19)],
+        "2024 4111 1111 1111 1111": [("card", 5, 19)],
+        "at 2024-03-01T12:00:00Z, 2024-03-02Tx": [("date", 3, 10)],
+        "+1 988 555 2485 4111 1111 1111 1111": [("phone", 0, 15), ("card", 16, 19)],
+        "4111 1111 1111 1111.john@x.org": [("card", 0, 19), ("email", 19, 5)],
+        "XX00 XX00XX00XX00XX 10.0.0.1 a@b.org": [("ip", 20, 8), ("email", 29, 1)],
+        "212-555-0100.ann@x.org": [("email", 0, 16)],
+    }.items():
+        made, spans = own.replace(text)
+        assert spans == want, text
+        for _, start, length in spans:
+            assert text[start:start + length] not in made
+
+
 def test_equal_values_are_linked_across_forms():
     own = pseudonyms.Pseudonyms(KEY)
     plain, dashed = own.replace("4111111111111111")[0], own.replace("4111-1111-1111-1111")[0]
