@@ -6,9 +6,9 @@ and ``MOST`` bytes after the last end and never inside a UTF-8 character. Ends d
 on nearby bytes only, so an insertion moves the chunks around it and no others.
 
 Chunks are deduplicated by a 128-bit digest: the occurrence in the smallest
-``doc_id`` (then text hash, then place) stays, later ones are duplicates. Runs of
-adjacent duplicate chunks of at least ``run`` bytes are cut out; shorter ones are
-chance repeats of common words and stay.
+``doc_id`` (then text hash, then place) stays, later ones are cut out, also one
+alone and a short text that is another's copy. ``run`` keeps runs of adjacent
+duplicate chunks below so many bytes.
 
 A null text is empty. Null ids come last in order. Rows that repeat id and text
 count as the one document they repeat. An empty table gives an empty result.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from curbline.llm.common import byte_values, written
 from curbline.llm.spans import cut, keyed
 
-LEAST, MOST, RUN = 16, 128, 96
+LEAST, MOST, RUN = 16, 128, 1
 GEAR = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=2).digest() for i in range(256)), "<u2")
 _CHUNK = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("size", pa.int32()),
                     ("d1", pa.int64()), ("d2", pa.int64())])
@@ -118,7 +118,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """Every document without the runs of chunks that stay elsewhere: doc_id, n_bytes, n_removed, n_spans,
+    """Every document without the chunks that stay elsewhere: doc_id, n_bytes, n_removed, n_spans,
     spans, kept, kept_sha256."""
     later = duplicates(docs).where("not first").select("doc_id", "key", "start", "stop")
     return cut(docs, later, run)

@@ -149,6 +149,15 @@ def test_chunk_dedup_of_documents(documents):
         assert r["kept_sha256"] == hashlib.sha256(bytes(r["kept"])).hexdigest()
 
 
+def test_every_duplicate_chunk_is_cut(documents, spark):
+    want = plain_dedup([(r["doc_id"], r["text"].encode()) for r in documents.collect()], 1)
+    assert {r["doc_id"]: [(s["start"], s["stop"]) for s in r["spans"]]
+            for r in chunking.dedup(documents).collect()} == want
+    short = "A short text, twice."
+    found = chunking.dedup(spark.createDataFrame([(1, short), (2, short), (3, short[:-1])], "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {1: 0, 2: len(short), 3: 0}
+
+
 def test_chunk_dedup_of_odd_rows(odd_documents, no_documents):
     found = sorted(chunking.dedup(odd_documents).collect(), key=lambda r: (r["doc_id"] or 99, r["n_bytes"]))
     assert len(found) == odd_documents.count()
