@@ -6,6 +6,9 @@ their partition and sums them per partition; prefix sums over these totals give
 every partition its global start; the second pass cuts at multiples of the
 sequence length. Only the last sequence can need padding.
 
+The ids of a text are those of ``tokenizers`` without added ones: a token that the file adds is
+one id where its characters stand in a text.
+
 A null or empty text is the separator alone; repeated rows are packed each;
 null ids stay null; an empty table gives no pieces. Extra columns are not read.
 """
@@ -34,7 +37,7 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
                      ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                      ("continues", pa.bool_()), ("continued", pa.bool_())])
 
-_encoders: dict[str, tuple] = {}
+_encoders: dict[tuple[str, bool], tuple] = {}
 
 
 def ranks_of(path: str) -> dict[bytes, int] | None:
@@ -58,27 +61,40 @@ def ranks_of(path: str) -> dict[bytes, int] | None:
     return {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
 
 
-def encoder(path: str):
-    """(text -> ids as bytes, type of an id) for this worker process; special tokens are ordinary text.
+def added_of(path: str) -> dict[str, int] | None:
+    """The file's added tokens with their ids; None where finding them in a text takes more than their characters."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or ()
+    names = [t["content"] for t in tokens]
+    if any(t.get(how) for t in tokens for how in ("single_word", "lstrip", "rstrip")) or any(
+            a != b and a in b for a in names for b in names):
+        return None
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def encoder(path: str, added: bool = False):
+    """(text -> ids as bytes, type of an id) for this worker process. With ``added``, the file's added tokens
+    are recognised in a text, as ``encode(add_special_tokens=False)`` of the library does; without, special
+    tokens are ordinary text.
 
     Byte-level files go through their ranks, which give the same ids at four times the speed.
     """
-    if path not in _encoders:
+    if (path, added) not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not added
         kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        ranks = ranks_of(path)
-        if ranks is None:
-            _encoders[path] = lambda text: np.array(
+        ranks, special = ranks_of(path), added_of(path) if added else {}
+        if ranks is None or special is None:
+            _encoders[path, added] = lambda text: np.array(
                 tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes(), kind
         else:
-            coder = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _encoders[path] = lambda text: coder.encode_to_numpy(
-                text, disallowed_special=()).astype(kind).tobytes(), kind
-    return _encoders[path]
+            coder = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            _encoders[path, added] = lambda text: coder.encode_to_numpy(
+                text, allowed_special="all", disallowed_special=()).astype(kind).tobytes(), kind
+    return _encoders[path, added]
 
 
 def tokenize(docs: DataFrame, path: str, separator: int = 0) -> DataFrame:
@@ -86,7 +102,7 @@ def tokenize(docs: DataFrame, path: str, separator: int = 0) -> DataFrame:
     with its place in its partition."""
 
     def run(batches):
-        encode, kind = encoder(path)
+        encode, kind = encoder(path, added=True)
         end = np.array([separator], kind).tobytes()
         part, at, width = TaskContext.get().partitionId(), 0, np.dtype(kind).itemsize
         for given in batches:
@@ -145,7 +161,7 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, separator: int = 0)
     tokens = tokenize(docs, path, separator)
     # One row of 16 bytes per scan task, far below a hundred MB at any input: safe to broadcast.
     starts = F.broadcast(written(partition_starts(tokens), "starts"))
-    _, kind = encoder(path)
+    _, kind = encoder(path, added=True)
     placed = tokens.join(starts, "part").select(
         "doc_id", (F.col("base") + F.col("local_start")).alias("begin"), "doc_tokens", "ids")
     return placed.mapInArrow(

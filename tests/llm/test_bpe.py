@@ -109,6 +109,16 @@ def test_own_ranks_give_the_ids_of_the_library():
         assert np.frombuffer(encode(text), kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_a_text_have_the_ids_of_the_library(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    some = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  \n", "<|endoftext|", " \n <|endoftext|> 's",
+            *texts()]
+    rows = packed(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), 1 << 20)
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in rows}
+    assert 50256 in got[0]
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(some)}
+
+
 def test_other_tokenizer_files_use_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     assert packing.ranks_of(path) is None
