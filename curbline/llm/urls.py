@@ -5,14 +5,15 @@ that they reject train one character model each: an interpolated Markov model
 of orders zero to three, where a long context falls back on the shorter one in
 proportion to how rarely it was seen. A url without a rule is allowed when its
 log-likelihood difference per character reaches the threshold, which is
-calibrated on a fifth of the ruled urls that the counts leave out.
+calibrated on a fifth of the ruled urls that the counts leave out. Only the
+rules look at host and path; the models read whole urls.
 
 Symbols are the 41 of ``ALPHABET`` (letters are lower-cased, digits are one
 symbol, anything else is ``~``), so the model has at most 41 ** 4 rows whatever
 the input; that bound is what allows it to be broadcast.
 
-Null urls and urls without ``://`` have an empty host and path; without any
-character there is no evidence, and the verdict is block. Without ruled urls of
+Null urls and urls without ``://`` have an empty host and path, which no rule
+fits; without any character there is no evidence, and the verdict is block. Without ruled urls of
 both kinds the threshold is zero. Repeated rows are judged each; an empty table
 gives an empty result; other columns of the input are dropped.
 """
@@ -52,9 +53,9 @@ def matching_rule(host: Column, path: Column, rules) -> Column:
 
 
 def ruled(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, host, path, rule and the rule's verdict (null without a rule)."""
+    """page_id, url (null: empty), host, path, rule and the rule's verdict (null without a rule)."""
     parts = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url")).select(
-        "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+        "page_id", F.coalesce("url", F.lit("")).alias("url"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     parts = parts.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     verdict = F.lit(None).cast("string")
     for text, decision in rules:
@@ -76,8 +77,8 @@ def grams(frame: DataFrame, text: str) -> DataFrame:
         "gram", F.substring(F.col(text), F.col("at"), F.lit(ORDER + 1))).drop("at")
 
 
-def calibration_fold(host: Column, path: Column) -> Column:
-    return F.crc32(F.concat(host, path)) % 5 == 0
+def calibration_fold(url: Column) -> Column:
+    return F.crc32(url) % 5 == 0
 
 
 def _probability(count: str, totals: float, strength: float) -> Column:
@@ -95,9 +96,9 @@ def _probability(count: str, totals: float, strength: float) -> Column:
 def fit(pages: DataFrame, strength: float = 4.0) -> DataFrame:
     """(gram, ratio): the log-ratio of the two models for every gram of any url, from counts over all
     ruled urls outside the calibration fold."""
-    learned = F.when(calibration_fold(F.col("host"), F.col("path")), F.lit("")).otherwise(
+    learned = F.when(calibration_fold(F.col("url")), F.lit("")).otherwise(
         F.coalesce("ruled", F.lit("")))
-    texts = pages.select(learned.alias("kind"), symbols(F.concat("host", "path")).alias("text"))
+    texts = pages.select(learned.alias("kind"), symbols(F.col("url")).alias("text"))
     counts = written(
         grams(texts, "text").groupBy("gram").agg(
             F.count_if(F.col("kind") == "allow").alias("accepted"),
@@ -111,7 +112,7 @@ def fit(pages: DataFrame, strength: float = 4.0) -> DataFrame:
 def scored(pages: DataFrame, model: DataFrame) -> DataFrame:
     """``pages`` with ``score``: the mean log-ratio per character, null without characters."""
     keyed = pages.withColumn("row", F.monotonically_increasing_id()).withColumn(
-        "text", symbols(F.concat("host", "path")))
+        "text", symbols(F.col("url")))
     placed = keyed.withColumn("at", F.explode_outer(
         F.when(F.length("text") > ORDER, F.sequence(F.lit(1), F.length("text") - ORDER))))
     # A page's grams are scored and summed in the task that reads it; one row per page is shuffled.
@@ -126,7 +127,7 @@ def scored(pages: DataFrame, model: DataFrame) -> DataFrame:
 
 def threshold(pages: DataFrame, model: DataFrame) -> float:
     """Between the classes' mean scores on the calibration fold, nearer to the narrower class."""
-    held = pages.where(F.col("ruled").isNotNull() & calibration_fold(F.col("host"), F.col("path")))
+    held = pages.where(F.col("ruled").isNotNull() & calibration_fold(F.col("url")))
     found = {r["ruled"]: (r["m"], r["s"] or 0.0) for r in scored(held, model).groupBy("ruled").agg(
         F.avg("score").alias("m"), F.stddev_pop("score").alias("s")).collect() if r["m"] is not None}
     if len(found) < 2:
