@@ -3,7 +3,6 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
 from curbline.operators import incremental, marts
 from curbline.operators.quality import TRIP_SUITE
 from curbline.plans import checking, monthly, warehouse
@@ -204,9 +203,9 @@ def test_monthly_run_twice_gives_the_same_tables(spark, tmp_path):
     assert silver.where("airport_fee = 1.25").count() == 2
 
 
-def test_mart_refresh_rewrites_recent_days_only(spark, tmp_path):
+def test_mart_refresh_rewrites_recent_days_only(spark, sf, tmp_path):
     path = str(tmp_path / "mart")
-    feeds = catalogue.typed(spark, SF)
+    feeds = catalogue.typed(spark, sf)
     newest = incremental.latest_day(warehouse.staged(feeds), "pickup_date")
     schema = marts.fact_trips(warehouse.staged(feeds).withColumn("trip_id", F.lit(""))).schema
     recent = f"pickup_datetime >= date_sub(date '{newest}', 40)"
@@ -224,8 +223,8 @@ def test_mart_refresh_rewrites_recent_days_only(spark, tmp_path):
     assert spark.read.schema(schema).parquet(path).count() == len(before)
 
 
-def test_look_back_reaches_the_scan_below_the_window(spark, tmp_path):
-    for feed, df in catalogue.typed(spark, SF).items():
+def test_look_back_reaches_the_scan_below_the_window(spark, sf, tmp_path):
+    for feed, df in catalogue.typed(spark, sf).items():
         df.write.parquet(f"{tmp_path}/{feed}")
     feeds = {f: spark.read.parquet(f"{tmp_path}/{f}") for f in ("yellow", "green")}
     trips = incremental.since(warehouse.staged(feeds), "pickup_at", "1998-07-01")
