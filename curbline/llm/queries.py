@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from curbline.llm import (
-    bpe, chunking, embeddings, exact, language, packing, pseudonyms, simhash, suffixes, urls,
+    bpe, chunking, clustering, embeddings, exact, language, negatives, packing, pseudonyms, simhash, suffixes, urls,
 )
 from curbline.llm.common import table
 
@@ -70,16 +70,76 @@ def op10_language_id(spark, sf):
         "doc_id", "held_out", "lang_pred", "score", "byte_share")
 
 
+def op11_hard_negatives(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_centroid_clustering(spark, sf):
+    return clustering.clusters(table(spark, sf, "embeddings")).drop("met")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_url_filter, op3_bpe_round_trip, op4_chunk_dedup, op5_packing,
-    op6_repeat_removal, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_pseudonyms, op10_language_id)}
+    op6_repeat_removal, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_pseudonyms, op10_language_id,
+    op11_hard_negatives, op13_centroid_clustering)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WHOLE = "[cast(floor(256 * cast(e as double)) as bigint) for e in embedding]"
+_FINITE = "embedding is not null and len([e for e in embedding if e is null or not isfinite(e)]) = 0"
+
+
+def _sum(a: str, b: str, of: str) -> str:
+    return f"cast(list_sum([{of} for p in list_zip({a}, {b})]) as bigint)"
+
+
+_ASSIGN = """a{i} as materialized (
+  select vec_id, x, cluster, distance
+  from (select vec_id, x, cluster, %s as distance from v, c{i})
+  qualify row_number() over (partition by vec_id order by distance, cluster) = 1),
+""" % _sum("x", "c", "(p[1] - p[2]) * (p[1] - p[2])")
+_MOVE = """c{j} as materialized (
+  select c{i}.cluster, coalesce(m.c, c{i}.c) as c from c{i} left join (
+    select cluster, list(s order by d) as c from (
+      select cluster, d, cast(floor(sum(e)::decimal(38,0) / count(*)) as bigint) as s
+      from (select cluster, unnest(x) as e, generate_subscripts(x, 1) as d from a{i}) group by cluster, d)
+    group by cluster) m on m.cluster = c{i}.cluster),
+"""
+_ROUNDS = "".join((_ASSIGN + (_MOVE if i < 5 else "")).format(i=i, j=i + 1) for i in range(6)).rstrip().rstrip(",")
+
 ORACLES = {
     "op1_exact_dedup": f"""
 select doc_id, max(doc_id) over (partition by digest) as keep_id,
   count(*) over (partition by digest) as group_size,
   doc_id = max(doc_id) over (partition by digest) as kept, digest as text_sha256
 from (select doc_id, sha256({_LOWER}) as digest from documents)""",
+    "op11_hard_negatives": f"""
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, {_WHOLE} as x
+  from embeddings where label is not null and {_FINITE}),
+s as materialized (
+  select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
+    {_sum('a.x', 'b.x', 'p[1] * p[2]')} as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id,
+  cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as int) as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same
+  and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5""",
+    "op13_centroid_clustering": f"""
+with v as materialized (
+  select vec_id, {_WHOLE} as x from embeddings where len(embedding) = 64 and {_FINITE}),
+c0 as materialized (
+  select cast(row_number() over (order by sha256('2:' || vec_id)) - 1 as int) as cluster, x as c
+  from v order by sha256('2:' || vec_id) limit 40),
+{_ROUNDS}
+select vec_id, cluster, distance,
+  cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a5 join c5 using (cluster)""",
 }
