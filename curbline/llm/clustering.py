@@ -99,7 +99,7 @@ def _sums(centroids: list[list[int]]):
     width = len(centroids[0])
 
     def run(batches):
-        lists = SortedLists(np.array(centroids, np.int64))
+        lists = SortedLists(np.array(centroids, np.int64).reshape(-1, width))
         totals = np.zeros((len(centroids), width), np.int64)
         counts = np.zeros(len(centroids), np.int64)
         for given in batches:
@@ -139,7 +139,7 @@ def clusters(vectors: DataFrame, k: int = 40, rounds: int = 5, width: int = 64,
         centroids = moved(kept, centroids)
 
     def assign(batches):
-        lists = SortedLists(np.array(centroids, np.int64))
+        lists = SortedLists(np.array(centroids, np.int64).reshape(-1, width))
         for given in batches:
             rows = matrix(given.column(1), width)
             if len(rows):

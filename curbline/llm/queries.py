@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from curbline.llm import (
-    bpe, chunking, clustering, embeddings, exact, language, negatives, packing, pseudonyms, simhash, suffixes, urls,
+    bpe, chunking, clustering, embeddings, exact, language, negatives, packing, pseudonyms, secrets, simhash, suffixes,
+    urls,
 )
 from curbline.llm.common import table
 
@@ -76,6 +77,15 @@ def op11_hard_negatives(spark, sf):
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_secret_scan(spark, sf):
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    count = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
+             for k in ("assign", "access", "hex")]
+    return secrets.scan(table(spark, sf, "documents")).select(
+        "doc_id", *count, F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("secrets")).alias("spans"))
+
+
 def op13_centroid_clustering(spark, sf):
     return clustering.clusters(table(spark, sf, "embeddings")).drop("met")
 
@@ -83,7 +93,7 @@ def op13_centroid_clustering(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_url_filter, op3_bpe_round_trip, op4_chunk_dedup, op5_packing,
     op6_repeat_removal, op7_embedding_near_dedup, op8_simhash_near_dedup, op9_pseudonyms, op10_language_id,
-    op11_hard_negatives, op13_centroid_clustering)}
+    op11_hard_negatives, op12_secret_scan, op13_centroid_clustering)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
