@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a minimum per node and a join; a node with very many neighbours
+Every step is a minimum per node, written, and a join; a node with very many neighbours
 is pre-aggregated by its minimum and its rows in the join are split by adaptive
-execution. Each round is a written table, so a lost executor costs one round.
+execution, which can only do so where the join does not share its shuffle with the aggregate. Each round is a written table, so a lost executor costs one round.
 Rounds end when every node has one parent that is no child itself: such stars
 are the components, and a further round would return them unchanged.
 """
@@ -37,10 +37,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     stars = written(ends.where("u <> v").distinct(), "edges")
     while not _settled(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_lowest(both), "u").where("v > u").select(
+        large = both.join(written(_lowest(both), "lowest"), "u").where("v > u").select(
             F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
         large = written(large, "large-star")
-        lowest = _lowest(large)
+        lowest = written(_lowest(large), "lowest")
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             lowest.select("u", F.col("m").alias("v")))
         stars = written(small.where("u <> v").distinct(), "small-star")
