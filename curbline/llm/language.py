@@ -280,10 +280,17 @@ def predict(docs: DataFrame, net: Network | None, lang: str = "lang_pred", score
     return docs.mapInArrow(run, schema)
 
 
-def accepted(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """``docs`` without those that are ``und`` or labelled with less than ``min_score``; columns as they are.
-    The network learns from the same documents' ``lang``."""
+def accepted(docs: DataFrame, times_chance: float = 1.2) -> DataFrame:
+    """``docs`` without those that have no letters or no language of clear probability; columns as they are.
+
+    The network learns from the same documents' ``lang``. A document goes when its best language has less than
+    ``times_chance`` times the probability that all languages would share evenly (at most one half). Where no ``lang``
+    can be learned from, every document with letters stays.
+    """
     net = fit(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))))
+    if net is None:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    least = min(0.5, times_chance / len(net.languages))
     lang, score, share = fresh(docs, "lang_pred"), fresh(docs, "lang_score"), fresh(docs, "lang_share")
     judged = predict(docs, net, lang, score, share)
-    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).select(*docs.columns)
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

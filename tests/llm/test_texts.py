@@ -153,3 +153,11 @@ def test_held_out_accuracy(documents, odd_documents, no_documents):
     assert language.fit(no_documents) is None
     assert {r["pred"] for r in language.predict(odd_documents, None, "pred").collect()} == {"und"}
     assert language.accepted(no_documents).count() == 0
+
+
+def test_documents_stay_where_no_language_can_be_learned(odd_documents):
+    unlabelled = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    kept = language.accepted(unlabelled)
+    assert kept.columns == odd_documents.columns
+    want = [r for r in odd_documents.collect() if language.has_letter(r["text"])]
+    assert sorted(str(r["text"]) for r in kept.collect()) == sorted(r["text"] for r in want)
