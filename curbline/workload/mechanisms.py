@@ -10,6 +10,7 @@ from curbline.functions.numeric import exact_sum
 from curbline.operators import quantiles, rollups, slices
 from curbline.session import scratch_path
 from curbline.sources import footers, publish
+from curbline.streaming import hourly
 from curbline.workload import adapter as ad
 from curbline.workload.adapter import exact_avg_sql, exact_sum_sql
 from curbline.workload.catalogue import _gold_sql, _orders_by_month, picked, query
@@ -124,3 +125,57 @@ _FOOTER_BOUNDS = ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     for c in (*_FOOTER_BOUNDS, "l_returnflag", "l_shipdate")))
 def footer_profile(spark, sf):
     return footers.footer_profile(spark, f"{sf}/lineitem.parquet", (*_FOOTER_BOUNDS, "l_returnflag", "l_shipdate"))
+
+
+# ---- streams -----------------------------------------------------------------
+
+SLOTS = 6
+_SLOT = "least(cast(floor(({us} - {low}) / ({span} / {slots})) as int), {slots} - 1)"
+DELAY = "2 days"
+LATE = 97
+
+
+def _landed(spark, sf, late: bool = False):
+    """Events in ``SLOTS`` folders by time, up to a day out of order; with ``late``, some old ones in a last folder."""
+    root = scratch_path(spark, "landed")
+    events = ad.table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    us = "unix_micros(cast(ts as timestamp))"
+    low, high = events.selectExpr(f"min({us})", f"max({us})").first()
+    moved = f"({us} + pmod(hash(event_id), 86400) * 1000000L)"
+    slot = _SLOT.format(us=moved, low=low, span=high - low + 86_400_000_000, slots=SLOTS)
+    held = f"event_id % {LATE} = 0 and {us} < {high - 4 * 86_400_000_000}" if late else "false"
+    dealt = events.selectExpr("*", f"case when {held} then {SLOTS} else {slot} end as slot")
+    for i in range(SLOTS + 1):  # one after the other: a file stream goes by the time of writing
+        dealt.where(F.col("slot") == i).drop("slot").coalesce(1).write.parquet(f"{root}/{i}")
+    return root, events.schema
+
+
+_LATE_SQL = f"event_id % {LATE} = 0 and ts < (select max(ts) - interval 4 day from events)"
+
+
+@query("stream_hourly", f"""
+with ends as (select max(ts) - interval 2 day as closed from events where not ({_LATE_SQL})),
+h as (select date_trunc('hour', ts) as hour_start, event_type, count(*) as events, {exact_sum_sql('value')} as total
+  from events where not ({_LATE_SQL}) group by all)
+select * from h where hour_start + interval 1 hour <= (select closed from ends)""")
+def stream_hourly(spark, sf):
+    """Closed hours of a replay in files out of order; rows that land a month late change nothing."""
+    root, schema = _landed(spark, sf, late=True)
+    path = scratch_path(spark, "hours")
+    stream = hourly.hourly_measures(hourly.follow_table(spark, root, schema), "ts", ["event_type"], "value", DELAY)
+    hourly.run_into(stream, path, scratch_path(spark, "stream"), state_partitions=8)
+    return spark.read.parquet(path).select(
+        F.col("hour_start").cast("timestamp_ntz").alias("hour_start"), "event_type", "events", "total")
+
+
+@query("stream_without_repeats", "select event_id, event_type, ts, value from events")
+def stream_without_repeats(spark, sf):
+    """Events that landed up to three times in different files, once each."""
+    root, schema = _landed(spark, sf)
+    twice = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    for i, some in enumerate(("event_id % 3 = 0", "event_id % 6 = 0")):
+        twice.where(some).coalesce(1).write.parquet(f"{root}/again-{i}")
+    path = scratch_path(spark, "once")
+    stream = hourly.without_repeats(hourly.follow_table(spark, root, schema), "ts", ["event_id"], "60 days")
+    hourly.run_into(stream, path, scratch_path(spark, "stream"), state_partitions=8)
+    return spark.read.parquet(path).select("event_id", "event_type", "ts", "value")
