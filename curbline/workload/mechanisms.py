@@ -136,21 +136,22 @@ LATE = 97
 
 
 def _landed(spark, sf, late: bool = False):
-    """Events in ``SLOTS`` folders by time, up to a day out of order; with ``late``, some old ones in a last folder."""
+    """Events in ``SLOTS`` folders by time, up to a day out of order; with ``late``, some in a last folder that are
+    older than the watermark by then (rows are held against the watermark of the micro-batch before)."""
     root = scratch_path(spark, "landed")
     events = ad.table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
     us = "unix_micros(cast(ts as timestamp))"
     low, high = events.selectExpr(f"min({us})", f"max({us})").first()
     moved = f"({us} + pmod(hash(event_id), 86400) * 1000000L)"
     slot = _SLOT.format(us=moved, low=low, span=high - low + 86_400_000_000, slots=SLOTS)
-    held = f"event_id % {LATE} = 0 and {us} < {high - 4 * 86_400_000_000}" if late else "false"
+    held = f"event_id % {LATE} = 0 and {us} < {high - 10 * 86_400_000_000}" if late else "false"
     dealt = events.selectExpr("*", f"case when {held} then {SLOTS} else {slot} end as slot")
     for i in range(SLOTS + 1):  # one after the other: a file stream goes by the time of writing
         dealt.where(F.col("slot") == i).drop("slot").coalesce(1).write.parquet(f"{root}/{i}")
     return root, events.schema
 
 
-_LATE_SQL = f"event_id % {LATE} = 0 and ts < (select max(ts) - interval 4 day from events)"
+_LATE_SQL = f"event_id % {LATE} = 0 and ts < (select max(ts) - interval 10 day from events)"
 
 
 @query("stream_hourly", f"""
