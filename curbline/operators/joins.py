@@ -51,3 +51,13 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     )
     known = parent.select(F.col(parent_key).alias(key))
     return counted.join(known, on=key, how="left_anti")
+
+
+def on_days(fact: DataFrame, days: DataFrame, condition: str, day: str = "pickup_date") -> DataFrame:
+    """Rows of a day-partitioned fact whose day meets a condition on the calendar's attributes.
+
+    The chosen days are broadcast (one row per calendar day at most). The scan prunes its partitions by
+    them while the query runs, so that only the files of those days are opened.
+    """
+    chosen = days.where(condition).select(F.col("date_day").alias(day))
+    return fact.join(F.broadcast(chosen), day, "left_semi")

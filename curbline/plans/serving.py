@@ -224,20 +224,31 @@ ANSWER_CASES: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
 
 def score_answers(answers: DataFrame, text: str,
                   cases: Sequence[tuple[str, Sequence[str], Sequence[str]]] = ANSWER_CASES,
-                  valid: str | None = None) -> DataFrame:
-    """Every answer against every case: share of wanted words, forbidden hit, pass flag."""
+                  valid: str | None = None, case: str | None = None) -> DataFrame:
+    """Share of wanted words, forbidden hit and pass flag of each answer, one row per case.
+
+    With ``case``, the column that names what an answer was asked, each answer is scored against that case only
+    and stays one row. An answer to an unknown case keeps its row: case and precision are NULL, it does not pass.
+    """
     def hits(words: Sequence[str]) -> str:
         return " + ".join(
             f"cast(contains(lower({text}), {text_list([w.lower()])}) as int)" for w in words
         ) or "0"
 
-    def scored(case: str, wanted: Sequence[str], barred: Sequence[str]) -> str:
+    def scored(name: str, wanted: Sequence[str], barred: Sequence[str]) -> str:
         share = f"coalesce(({hits(wanted)}) / {len(wanted)}D, 0D)" if wanted else "1D"
-        return (f"named_struct('case_id', '{case}', 'precision', {share}, "
+        return (f"named_struct('case_id', {text_list([name])}, 'precision', {share}, "
                 f"'forbidden_hit', coalesce(({hits(barred)}) > 0, false))")
 
-    out = answers.selectExpr("*", f"inline(array({', '.join(scored(*c) for c in cases)}))")
-    return out.selectExpr("*", f"precision = 1 and {valid or 'true'} and not forbidden_hit as passed")
+    if case is None:
+        out = answers.selectExpr("*", f"inline(array({', '.join(scored(*c) for c in cases)}))")
+    else:
+        own = " ".join(f"when {text_list([c[0]])} then {scored(*c)}" for c in cases)
+        out = answers.withColumnRenamed(case, "_asked").selectExpr("*", f"case _asked {own} end as _own").selectExpr(
+            *[f"`{c}`" for c in answers.columns if c != case],
+            "_own.case_id", "_own.precision", "coalesce(_own.forbidden_hit, false) as forbidden_hit")
+    return out.selectExpr(
+        "*", f"coalesce(precision = 1 and {valid or 'true'} and not forbidden_hit, false) as passed")
 
 
 def score_summary(scored: DataFrame, latency: str, by: Sequence[str] = ("case_id",)) -> DataFrame:

@@ -8,8 +8,7 @@ stops there: the bounds of that table are then read from its columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -17,23 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbline.session import settings
+
 _SETTINGS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
 _BOUNDED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.BooleanType)
 
 
-@contextmanager
-def _pushed(spark: SparkSession) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
-    for k, v in _SETTINGS.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def _pushed(spark: SparkSession):
+    return settings(spark, _SETTINGS)
 
 
 def _counts(wanted: Sequence[T.StructField]) -> list:

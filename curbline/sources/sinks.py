@@ -18,8 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline.schema import assert_additive
+from curbline.session import settings
 from curbline.sources.readers import path_exists, read_evolved
 
+# A write into many directories costs by the file, not by the byte: small shuffles keep their tasks.
+# Beyond this size a task the advisory size decides, as without it.
+_BY_FILE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None where nothing has been written yet."""
@@ -54,7 +59,8 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
     ``rebalance`` gathers a partition's rows into few files, while adaptive
     execution splits a large one over several tasks.
     """
-    df.hint("rebalance", *keys).write.format(fmt).mode(mode).partitionBy(*keys).save(path)
+    with settings(df.sparkSession, _BY_FILE):
+        df.hint("rebalance", *keys).write.format(fmt).mode(mode).partitionBy(*keys).save(path)
 
 
 def replace_partition(df: DataFrame, path: str, where: Mapping[str, int | str],
@@ -92,13 +98,14 @@ def insert_overwrite(df: DataFrame, path: str, keys: Sequence[str],
                      contract: T.StructType | None = None, fmt: str = "parquet") -> None:
     """Replace the partitions present in the batch; every other one stays."""
     check_evolution(df, path, contract)
-    (
-        df.hint("rebalance", *keys)
-        .write.format(fmt).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .save(path)
-    )
+    with settings(df.sparkSession, _BY_FILE):
+        (
+            df.hint("rebalance", *keys)
+            .write.format(fmt).mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys)
+            .save(path)
+        )
 
 
 def materialize(df: DataFrame, name: str, mode: str, path: str | None = None,

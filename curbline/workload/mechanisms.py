@@ -1,4 +1,4 @@
-"""Queries on published versions, mergeable state, refined quantiles, sliced windows and footers."""
+"""Queries on published versions, mergeable state, refined quantiles, sliced windows, footers, buckets and suites."""
 
 from __future__ import annotations
 
@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_sum
-from curbline.operators import quantiles, rollups, slices
+from curbline.operators import quality, quantiles, rollups, slices, suites
+from curbline.operators.joins import on_days
+from curbline.plans import serving
 from curbline.session import scratch_path
-from curbline.sources import footers, publish
+from curbline.sources import bucketed, footers, publish, sinks
 from curbline.streaming import hourly
 from curbline.workload import adapter as ad
-from curbline.workload.adapter import exact_avg_sql, exact_sum_sql
-from curbline.workload.catalogue import _gold_sql, _orders_by_month, picked, query
+from curbline.workload.adapter import exact_avg_sql, exact_sum_sql, with_sql
+from curbline.workload.catalogue import SUITE, _SCORED_SQL, _gold_sql, _orders_by_month, checked, days, picked, query, silver
 
 
 @query("publish_month", f"""
@@ -127,6 +129,77 @@ def footer_profile(spark, sf):
     return footers.footer_profile(spark, f"{sf}/lineitem.parquet", (*_FOOTER_BOUNDS, "l_returnflag", "l_shipdate"))
 
 
+# ---- buckets, calendar pruning, suites as data -------------------------------
+
+BUCKETS = 8
+
+
+def bucketed_pair(spark, sf, buckets=BUCKETS, urgent=True):
+    """Lines and orders (without the urgent ones, on request) as bucketed tables on the order's key."""
+    database, path = f"lake_{uuid.uuid4().hex}", scratch_path(spark, "bucketed")
+    lines = ad.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    orders = ad.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    if not urgent:
+        orders = orders.where("o_orderpriority <> '1-URGENT'")
+    bucketed.write_bucketed(lines, database, "lines", f"{path}/lines", ["l_orderkey"], buckets)
+    bucketed.write_bucketed(orders.withColumnRenamed("o_orderkey", "l_orderkey"), database, "orders", f"{path}/orders",
+                            ["l_orderkey"], buckets)
+    return bucketed.open_bucketed(spark, database, "lines"), bucketed.open_bucketed(spark, database, "orders")
+
+
+@query("bucketed_join", f"""
+select o_orderpriority, count(*) as n, {exact_sum_sql('l_extendedprice')} as total
+from lineitem join orders on l_orderkey = o_orderkey group by all""")
+def bucketed_join(spark, sf):
+    """Two large tables joined bucket by bucket, then summed."""
+    lines, orders = bucketed_pair(spark, sf)
+    return bucketed.bucket_join(lines, orders, "l_orderkey").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"{exact_sum('l_extendedprice')} as total"))
+
+
+@query("bucketed_reference", """
+select l_orderkey, count(*) as row_count from lineitem
+where l_orderkey not in (select o_orderkey from orders where o_orderpriority <> '1-URGENT') group by all""")
+def bucketed_reference(spark, sf):
+    """Lines without an order among the orders that are not urgent, per key."""
+    lines, orders = bucketed_pair(spark, sf, urgent=False)
+    return bucketed.bucket_orphans(lines, "l_orderkey", orders, "l_orderkey")
+
+
+_CHOSEN = "quarter = 2 or is_us_holiday"
+
+
+@query("calendar_days", with_sql(*ad.SANE, *ad.DAYS, final=f"""
+select pickup_date, vehicle_type, count(*) as trips, {exact_sum_sql('total_amount')} as revenue
+from silver join days on pickup_date = date_day where {_CHOSEN} group by all"""))
+def calendar_days(spark, sf):
+    """Trips on holidays and in the second quarter, from the files of those days only."""
+    path = scratch_path(spark, "by-day")
+    trips = silver(spark, sf).select("pickup_date", "vehicle_type", "total_amount")
+    sinks.write_partitioned(trips, path, ["pickup_date"])
+    fact = spark.read.schema(trips.schema).parquet(path)
+    return on_days(fact, days(spark, sf), _CHOSEN).groupBy("pickup_date", "vehicle_type").agg(
+        F.count(F.lit(1)).alias("trips"), F.expr(f"{exact_sum('total_amount')} as revenue"))
+
+
+@query("dq_suite_from_json", with_sql(*SUITE, final="select * from suite"))
+def dq_suite_from_json(spark, sf):
+    return quality.run_suite(checked(spark, sf), suites.shipped_suite(spark))
+
+
+_CASE_NAMES = [name for name, _, _ in serving.ANSWER_CASES]
+_ASKED_SQL = "[" + ", ".join(f"'{n}'" for n in _CASE_NAMES) + "][(conv_id % 5) + 1]"
+
+
+@query("score_own_case", with_sql(_SCORED_SQL, final=f"""
+select conv_id, turn, case_id, precision, forbidden_hit, passed from scored where case_id = {_ASKED_SQL}"""))
+def score_own_case(spark, sf):
+    """Each turn as the answer to one case, scored by that case only."""
+    asked = f"element_at(array({', '.join(repr(n) for n in _CASE_NAMES)}), cast(conv_id % 5 as int) + 1)"
+    turns = ad.table(spark, sf, "conversations").selectExpr("conv_id", "turn", "text", f"{asked} as asked")
+    return serving.score_answers(turns, "text", case="asked").drop("text")
+
+
 # ---- streams -----------------------------------------------------------------
 
 SLOTS = 6
