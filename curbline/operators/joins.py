@@ -57,7 +57,9 @@ def on_days(fact: DataFrame, days: DataFrame, condition: str, day: str = "pickup
     """Rows of a day-partitioned fact whose day meets a condition on the calendar's attributes.
 
     The chosen days are broadcast (one row per calendar day at most). The scan prunes its partitions by
-    them while the query runs, so that only the files of those days are opened.
+    them while the query runs, so that only the files of those days are opened. Spark does so for a side whose
+    filter it takes to be selective, which holds for comparisons and not for flags: a bound that every day
+    meets stands beside the condition.
     """
-    chosen = days.where(condition).select(F.col("date_day").alias(day))
+    chosen = days.where(f"({condition}) and date_day >= date '0001-01-01'").select(F.col("date_day").alias(day))
     return fact.join(F.broadcast(chosen), day, "left_semi")
