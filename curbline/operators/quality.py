@@ -6,7 +6,7 @@ reference checks need their own shuffle and count per key before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
@@ -249,10 +249,12 @@ MAX_NULL_RATE = 0.95
 
 
 def file_contract(df: DataFrame, feed: str | None, min_rows: int = MIN_FILE_ROWS,
-                  max_null_rate: float = MAX_NULL_RATE) -> DataFrame:
+                  max_null_rate: float = MAX_NULL_RATE,
+                  counts: tuple[int, Mapping[str, int]] | None = None) -> DataFrame:
     """Findings on a raw feed: (feed, finding, column_name, severity), none when it is sound.
 
-    Unexpected columns only warn. An unknown feed is itself a finding.
+    Unexpected columns only warn. An unknown feed is itself a finding. With ``counts``, the rows and the NULLs
+    per column as file footers give them, no row of the frame is read.
     """
     spark = df.sparkSession
     shape = "feed string, finding string, column_name string, severity string"
@@ -260,10 +262,15 @@ def file_contract(df: DataFrame, feed: str | None, min_rows: int = MIN_FILE_ROWS
         return spark.createDataFrame([(feed, "unknown_feed", None, CRITICAL)], shape)
     missing, unexpected = column_differences(df, feed, REQUIRED_COLUMNS, OPTIONAL_COLUMNS)
     present = [c for c in REQUIRED_COLUMNS[feed] if c not in missing]
-    counted = df.agg(
-        F.expr("count(1) as all_rows"),
-        *[F.expr(f"count_if(`{c}` is null) as null_{i}") for i, c in enumerate(present)],
-    )
+    if counts is None:
+        counted = df.agg(
+            F.expr("count(1) as all_rows"),
+            *[F.expr(f"count_if(`{c}` is null) as null_{i}") for i, c in enumerate(present)],
+        )
+    else:
+        rows, nulls = counts
+        counted = spark.range(1).selectExpr(
+            f"{rows}L as all_rows", *[f"{nulls[c]}L as null_{i}" for i, c in enumerate(present)])
 
     def finding(kind: str, column: str | None, severity: str, applies: str = "true") -> str:
         name = f"'{column}'" if column else "cast(null as string)"

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators import quality
+from curbline.schema import REQUIRED_COLUMNS
+from curbline.sources import footers
+from curbline.sources.readers import path_exists, raw_month_path
 from curbline.sources.sinks import quarantine, write_report
 
 SUITE_NAME = "trip_suite"
@@ -26,6 +29,24 @@ def admit_feed(raw: DataFrame, feed: str | None, quarantine_path: str) -> list[s
     return [f"{r.finding}: {r.column_name}" if r.column_name else r.finding for r in critical]
 
 
+def admit_month(spark: SparkSession, root: str, feed: str, year: int, month: int,
+                min_rows: int = quality.MIN_FILE_ROWS) -> list[str]:
+    """The same for a landed month, from its file footers: no row is read unless the month is set aside.
+
+    A month that has not landed is a finding too.
+    """
+    path = raw_month_path(root, feed, year, month)
+    if not path_exists(spark, path):
+        return ["not_landed"]
+    raw = spark.read.parquet(path)
+    counts = footers.footer_counts(spark, path) if feed in REQUIRED_COLUMNS else None
+    found = quality.file_contract(raw, feed, min_rows, counts=counts)
+    critical = [r for r in found.orderBy("finding", "column_name").collect() if r.severity == quality.CRITICAL]
+    if critical:
+        raw.write.mode("overwrite").parquet(f"{root}/quarantine/bronze/{feed}/{year:04d}-{month:02d}")
+    return [f"{r.finding}: {r.column_name}" if r.column_name else r.finding for r in critical]
+
+
 @dataclass(frozen=True)
 class Outcome:
     passed: bool

@@ -71,6 +71,92 @@ KPI_COLUMNS = {
     "rolling_7d_revenue": "double",
     "revenue_per_mile": "double",
 }
+_STAGED_MEASURES = {
+    "store_and_fwd_flag": "string",
+    "passenger_count": "integer",
+    "trip_distance_miles": "double",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "airport_fee": "double",
+    "pickup_at": "timestamp_ntz",
+    "dropoff_at": "timestamp_ntz",
+    "pickup_date": "date",
+    "pickup_hour": "integer",
+    "trip_duration_seconds": "long",
+    "cab_type": "string",
+}
+_PLACES = {"vendor_id": "integer", "pickup_location_id": "integer", "dropoff_location_id": "integer"}
+STAGED_COLUMNS = _PLACES | {"rate_code_id": "integer", "payment_type_id": "integer"} | _STAGED_MEASURES
+FACT_COLUMNS = _PLACES | _STAGED_MEASURES | {
+    "trip_id": "string",
+    "payment_type": "string",
+    "rate_code": "string",
+    "avg_speed_mph": "double",
+    "tip_pct": "double",
+    "revenue_per_mile": "double",
+}
+LOCATION_COLUMNS = {
+    "location_id": "integer",
+    "zone_name": "string",
+    "borough": "string",
+    "service_zone": "string",
+    "borough_group": "string",
+    "is_airport": "boolean",
+    "is_manhattan_cbd": "boolean",
+}
+CALENDAR_COLUMNS = {
+    "date_day": "date",
+    "year": "integer",
+    "month": "integer",
+    "day_of_month": "integer",
+    "day_of_week": "integer",
+    "week_of_year": "integer",
+    "quarter": "integer",
+    "year_month": "string",
+    "day_name": "string",
+    "month_name": "string",
+    "year_quarter": "string",
+    "is_weekend": "boolean",
+    "us_holiday_name": "string",
+    "is_us_holiday": "boolean",
+}
+MART_COLUMNS = {
+    "pickup_date": "date",
+    "pickup_hour": "integer",
+    "cab_type": "string",
+    "borough_group": "string",
+    "is_airport": "boolean",
+    "is_manhattan_cbd": "boolean",
+    "trip_count": "long",
+    "total_passengers": "long",
+    "total_distance_miles": "double",
+    "avg_distance_miles": "double",
+    "avg_duration_minutes": "double",
+    "median_duration_minutes": "double",
+    "avg_speed_mph": "double",
+    "total_fare": "double",
+    "total_tips": "double",
+    "total_revenue": "double",
+    "avg_revenue_per_trip": "double",
+    "avg_tip_pct": "double",
+    "total_congestion_surcharge": "double",
+    "total_airport_fee": "double",
+    "credit_card_trips": "long",
+    "cash_trips": "long",
+    "revenue_per_trip": "double",
+    "is_weekend": "boolean",
+    "is_us_holiday": "boolean",
+    "day_name": "string",
+    "month_name": "string",
+    "year_month": "string",
+    "year_quarter": "string",
+}
 
 
 def _table(columns: Mapping[str, str]) -> T.StructType:
@@ -83,6 +169,11 @@ def _table(columns: Mapping[str, str]) -> T.StructType:
 SILVER = _table(RAW_COLUMNS | DERIVED_COLUMNS)
 GOLD_FACT = _table(RAW_COLUMNS | DERIVED_COLUMNS | ENRICHED_COLUMNS)
 GOLD_KPI = _table(KPI_COLUMNS)
+STAGED = _table(STAGED_COLUMNS)
+FACT_TRIPS = _table(FACT_COLUMNS)
+DIM_LOCATION = _table(LOCATION_COLUMNS)
+DIM_DATETIME = _table(CALENDAR_COLUMNS)
+MART_HOURLY = _table(MART_COLUMNS)
 
 # The type every known raw column is brought to; text stays as it is.
 STABLE_TYPES: dict[str, str] = {
@@ -114,6 +205,8 @@ REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "fhvhv": ("hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime",
               "PULocationID", "DOLocationID", "base_passenger_fare", "tolls", "tips", "driver_pay"),
 }
+# The required columns of a trip feed under their canonical names.
+REQUIRED_RAW = {FEED_RENAMES["yellow"].get(c, c) for c in REQUIRED_COLUMNS["yellow"]}
 OPTIONAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "yellow": ("cbd_congestion_surcharge",),
     "green": ("cbd_congestion_surcharge",),

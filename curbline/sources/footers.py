@@ -62,6 +62,14 @@ def footer_rows(spark: SparkSession, path: str) -> int:
     return _first(spark, path, _counts(()))[0] or 0
 
 
+def footer_counts(spark: SparkSession, path: str,
+                  columns: Sequence[str] | None = None) -> tuple[int, dict[str, int]]:
+    """Rows, and NULLs per column."""
+    wanted = _fields(spark.read.parquet(path), columns)
+    rows, *filled = (n or 0 for n in _first(spark, path, _counts(wanted)))
+    return rows, {f.name: rows - n for f, n in zip(wanted, filled, strict=True)}
+
+
 def footer_profile(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: column_name, row_count, null_count, low, high (text; NULL where there is no exact bound)."""
     wanted = _fields(spark.read.parquet(path), columns)

@@ -40,9 +40,13 @@ RATE_CODES = [
 FEED_PREFIXES = ("fhvhv", "fhv", "green", "yellow")
 
 
+def raw_month_path(root: str, feed: str, year: int, month: int) -> str:
+    return f"{root}/bronze/{feed}/{year:04d}-{month:02d}"
+
+
 def read_feed(spark: SparkSession, root: str, feed: str, year: int, month: int) -> DataFrame:
     """One feed's raw month: ``root/bronze/<feed>/<YYYY-MM>/``."""
-    return spark.read.parquet(f"{root}/bronze/{feed}/{year:04d}-{month:02d}/")
+    return spark.read.parquet(raw_month_path(root, feed, year, month))
 
 
 def read_month(
@@ -66,6 +70,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories right below a path; none where the path is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(place) if files.exists(place) else []
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     """A table whose columns grew over time; older files give NULL for newer columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -111,3 +123,12 @@ def feed_from_file_name(file_name: str = "_metadata.file_name"):
 def file_manifest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The data files behind a table frame, one row per (partition keys, file)."""
     return df.select(*keys, F.col("_metadata.file_path").alias("file_path")).distinct()
+
+
+def file_listing(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
+    """Every data file below a path with its size and partition keys, files without rows included.
+
+    The files are listed, in parallel for many directories, and none is opened.
+    """
+    return spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path).drop(
+        "content").withColumnsRenamed({"path": "file_path", "length": "bytes", "modificationTime": "modified_at"})
