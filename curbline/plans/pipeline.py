@@ -94,13 +94,20 @@ def check_marts(spark: SparkSession, root: str, year: int, month: int) -> DataFr
     return spark.read.schema(results.schema).json(f"{root}/reports/marts/partition={year:04d}-{month:02d}")
 
 
+def enter_tables(spark: SparkSession, root: str, database: str) -> None:
+    """Entries for all month tables; one without a month yet reads as empty."""
+    for table, contract in MONTH_TABLES.items():
+        catalog.register_table(spark, database, table.replace("/", "_"), f"{root}/{table}", contract,
+                               dict.fromkeys(PARTITION_KEYS, "int"))
+
+
 def enter_month(spark: SparkSession, root: str, year: int, month: int, database: str) -> None:
     """Show a month's tables in the catalog, and list their files in manifests."""
     target = dict(zip(PARTITION_KEYS, (year, month), strict=True))
     leaf = "/".join(f"{k}={v}" for k, v in target.items())
-    for table, contract in MONTH_TABLES.items():
+    enter_tables(spark, root, database)
+    for table in MONTH_TABLES:
         name, path = table.replace("/", "_"), f"{root}/{table}"
-        catalog.register_table(spark, database, name, path, contract, dict.fromkeys(PARTITION_KEYS, "int"))
         catalog.register_partition(spark, database, name, target, f"{path}/{leaf}")
         spark.catalog.refreshTable(f"{database}.{name}")
         files = readers.file_listing(spark, f"{path}/{leaf}").select("file_path")
@@ -175,6 +182,7 @@ def run_months(spark: SparkSession, root: str, start: date | str, end: date | st
 
     Months already published are left alone, so a broken-off run is taken up by calling this again.
     """
+    enter_tables(spark, root, database)
     todo = month_plan(spark, root, start, end).where("status = 'pending'").orderBy("month_start").collect()
     runs = []
     for at in (r.month_start for r in todo):

@@ -254,13 +254,15 @@ left join (select date_trunc('month', pickup_date) as d, count(*) as trips, {exa
 def pipeline_months(spark, sf):
     """All pending months from landing to the catalog: what was decided, and what readers of the catalog then see.
 
-    The suite is the declared one without its lower bound on rows, which the supplied months do not reach.
+    The suite is the declared one without its lower bound on rows, which the supplied months do not reach. Lines
+    of 50 pieces have no zone by the feed's design: checks on places are reported and do not stop the month.
     """
     root, database = scratch_path(spark, "lake"), f"lake_{uuid.uuid4().hex}"
     landed_feeds(spark, sf, root)
     checks = [replace(c, low=1) if c.kind == "row_count" else c for c in quality.TRIP_SUITE
               if c.check_id not in ("CHK-004", "CHK-004b")]
     tolerated = [f"fact_trips.{c}.relationship" for c in quality.MART_CONSTRAINTS["fact_trips"].references]
+    tolerated.append("mart_hourly_kpi.borough_group.not_null")
     pipeline.run_months(spark, root, *_RUN, ad.zones(spark, sf), database, checks=checks, tolerated=tolerated, min_rows=1)
     month = "make_date(pickup_year, pickup_month, 1) as month"
     shown = spark.table(f"{database}.gold_fact_trips").selectExpr(month, "total_amount").groupBy("month").agg(

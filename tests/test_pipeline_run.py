@@ -82,6 +82,7 @@ def test_a_repaired_month_is_taken_up_again(spark, tmp_path, zones, database):
     options = dict(checks=ONE_ROW, min_rows=1)
     first = pipeline.run_months(spark, root, "2023-03-01", "2023-03-01", zones, database, **options)
     assert first[0].status == "not admitted"
+    assert spark.table(f"{database}.gold_fact_trips").count() == 0     # entered, and empty until a month passes
     spark.read.parquet(f"{root}/bronze/green/2023-03").withColumn("PULocationID", F.lit(2).cast("long")).write.parquet(f"{root}/fixed")
     spark.read.parquet(f"{root}/fixed").write.mode("overwrite").parquet(f"{root}/bronze/green/2023-03")
     again = pipeline.run_months(spark, root, "2023-03-01", "2023-03-01", zones, database, **options)
