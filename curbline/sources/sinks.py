@@ -22,7 +22,7 @@ from curbline.session import settings
 from curbline.sources.readers import path_exists, read_evolved
 
 # A write into many directories costs by the file, not by the byte: small shuffles keep their tasks.
-# Beyond this size a task the advisory size decides, as without it.
+# Where tasks hold more than Spark's own lower bound of 1 MB, nothing changes.
 _BY_FILE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
 
 
