@@ -44,7 +44,8 @@ def op5_packing(spark, sf):
 
 def op6_repeat_removal(spark, sf):
     return suffixes.remove(table(spark, sf, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("n_noted").alias("n_repeated"),
+        F.col("noted").alias("repeats"))
 
 
 def op7_embedding_near_dedup(spark, sf):

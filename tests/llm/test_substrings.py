@@ -23,16 +23,17 @@ def removed(texts, length):
 
 
 def check_removal(df, **sizes):
-    length = sizes.get("length", 400)
+    length, least = sizes.get("length", 400), sizes.get("least", 240)
     rows = df.select("doc_id", "text").collect()
     texts = [(r["text"] or "").encode() for r in rows]
     want = []
-    for r, t, gone in zip(rows, texts, removed(texts, length), strict=True):
+    for r, t, gone, noted in zip(rows, texts, removed(texts, length), removed(texts, least), strict=True):
         kept = bytes(np.frombuffer(t, np.uint8)[~gone])
         runs = int(np.count_nonzero(np.diff(np.r_[0, gone.astype(int)]) == 1))
-        want.append((r["doc_id"] or -1, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        want.append((r["doc_id"] or -1, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(),
+                     int(noted.sum())))
     found = suffixes.remove(df, **sizes).collect()
-    assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+    assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_noted"])
                   for r in found) == sorted(want)
 
 
@@ -56,13 +57,13 @@ def repetitive(spark, seed):
 
 
 @pytest.mark.parametrize("crowd", [20_000, 2])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_removal_of_short_strings(spark, seed, crowd):
-    check_removal(repetitive(spark, seed), length=40, gram=16, crowd=crowd)
+@pytest.mark.parametrize("seed, least", [(1, 24), (2, 25), (3, 40)])
+def test_removal_of_short_strings(spark, seed, least, crowd):
+    check_removal(repetitive(spark, seed), length=40, least=least, gram=16, crowd=crowd)
 
 
 def test_removal_from_odd_rows(odd_documents, no_documents):
-    check_removal(odd_documents.where("doc_id is null or doc_id not in (5, 6)"), length=8, gram=4)
+    check_removal(odd_documents.where("doc_id is null or doc_id not in (5, 6)"), length=8, least=6, gram=4)
     found = suffixes.remove(odd_documents).where("doc_id in (5, 6)").collect()
     assert all(r["n_removed"] == r["n_bytes"] for r in found)
     assert suffixes.remove(no_documents).count() == 0
@@ -82,16 +83,74 @@ def test_prefix_intervals_against_all_pairs():
         assert set(suffixes.prefix_intervals(prefixes, 1)) == want
 
 
-def test_maximal_repeats_are_maximal(spark):
+def plain_groups(ahead, behind, least):
+    """(p, e, members) by all pairs: for every member the extensions that no longer prefix has."""
+    n = len(ahead)
+    p = [[suffixes.common(a, b) for b in ahead] for a in ahead]
+    e = [[suffixes.common(a, b) for b in behind] for a in behind]
+    made = set()
+    for i in range(n):
+        known = -1
+        for q in sorted({p[i][j] for j in range(n) if j != i}, reverse=True):
+            best = max(e[i][j] for j in range(n) if j != i and p[i][j] >= q)
+            known, further = max(known, best), best > known
+            if further and q + best >= least:
+                members = tuple(j for j in range(n) if j == i or (p[i][j] >= q and e[i][j] >= best))
+                made.add((min(p[i][j] for j in members if j != i), best, members))
+    return made
+
+
+def test_groups_against_all_pairs():
+    pick = random.Random(6)
+    for n in (2, 3, 9, 25):
+        for _ in range(40):
+            ahead = sorted(b"g" + "".join(pick.choices("ab", k=pick.randint(3, 9))).encode() for _ in range(n))
+            behind = ["".join(pick.choices("ab", k=pick.randint(0, 9))).encode() for _ in range(n)]
+            found = [(p, e, tuple(sorted(m))) for p, e, m in suffixes.repeat_groups_of(ahead, behind, 4)]
+            p_of = {(p, e, m) for p, e, m in found}
+            want = plain_groups(ahead, behind, 4)
+            assert want <= p_of
+            for p, e, m in p_of:
+                # All that share the string, and no longer string is shared by all of them.
+                assert p == min(suffixes.common(ahead[m[0]], ahead[j]) for j in m[1:])
+                assert e == min(suffixes.common(behind[m[0]], behind[j]) for j in m[1:])
+                assert m == tuple(j for j in range(n) if suffixes.common(ahead[m[0]], ahead[j]) >= p
+                                  and suffixes.common(behind[m[0]], behind[j]) >= e)
+
+
+@pytest.mark.parametrize("crowd", [20_000, 2])
+def test_groups_list_all_occurrences(spark, crowd):
     df = repetitive(spark, 5)
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in df.collect()}
     groups = defaultdict(list)
-    for r in suffixes.maximal_repeats(df, 40, 16).collect():
-        groups[r["gram"], r["number"]].append(r)
+    for r in suffixes.maximal_repeats(df, 40, 24, 16, crowd).collect():
+        groups[r["group"]].append(r)
     assert groups
     for rows in groups.values():
         strings = {texts[r["doc_id"]][r["start"]:r["start"] + r["length"]] for r in rows}
-        assert len(rows) > 1 and len(strings) == 1 and len(strings.pop()) == rows[0]["length"] >= 40
+        assert len(rows) > 1 and len(strings) == 1 and len(min(strings)) == rows[0]["length"] >= 24
+        string = min(strings)
+        places = {(d, i) for d, t in texts.items() for i in range(len(t)) if t.startswith(string, i)}
+        assert {(r["doc_id"], r["start"]) for r in rows} <= places
+        assert len({(r["doc_id"], r["start"]) for r in rows}) == len(rows)
+
+
+def test_a_thousand_equal_passages_are_one_group(spark):
+    pick = random.Random(7)
+    word = lambda: "".join(pick.choices("abcdefghijklmnop", k=pick.randint(2, 9)))
+    passage = " ".join(word() for _ in range(60))[:300]
+    texts = [" ".join(word() for _ in range(20)) + passage + " ".join(word() for _ in range(20)) for _ in range(1000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = defaultdict(set)
+    lengths = {}
+    for r in suffixes.maximal_repeats(df).collect():
+        groups[r["group"]].add(r["doc_id"])
+        lengths[r["group"]] = r["length"]
+    full = [g for g, ids in groups.items() if len(ids) == 1000]
+    assert full and max(lengths[g] for g in full) == 300
+    found = suffixes.remove(df).select("n_removed", "n_noted", "noted").collect()
+    assert len(found) == 1000
+    assert all(r["n_removed"] == 0 and 300 <= r["n_noted"] <= 315 and len(r["noted"]) == 1 for r in found)
 
 
 def test_chunk_ends():
