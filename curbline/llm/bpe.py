@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from curbline.llm.words import PartCache
 
-ROWS = 512
+#: Documents taken at a time, and ids decoded in one step.
+ROWS, LEAF = 512, 4096
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 _DECODED = pa.schema([*_ENCODED, ("decoded", pa.binary())])
 
@@ -45,6 +46,7 @@ class TreeBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 200_000):
         self.ranks, self.remember = ranks, remember
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.table = pa.array([self.tokens.get(i) for i in range(max(self.tokens, default=-1) + 1)], pa.large_binary())
         self.split = regex.compile(pattern).findall
         self.pieces: dict[bytes, tuple] = {}
         self.pairs: dict[tuple, tuple] = {}
@@ -127,11 +129,24 @@ class TreeBpe:
                 ids.append(whole)
         return ids
 
-    def decode(self, ids: list[int]) -> bytes:
-        if len(ids) > 4096:
+    def decode(self, ids: np.ndarray | list[int]) -> bytes:
+        """The bytes of the ids: runs of at most ``LEAF`` are looked up in one step and joined up the tree."""
+        if len(ids) > LEAF:
             half = len(ids) // 2
             return self.decode(ids[:half]) + self.decode(ids[half:])
-        return b"".join(map(self.tokens.__getitem__, ids))
+        taken = self.table.take(pa.array(ids, pa.int32()))
+        if taken.null_count:
+            raise ValueError("an id is not in the vocabulary")
+        return b"".join(taken.to_pylist()) if taken.offset else _bytes(taken)
+
+
+def _bytes(tokens: pa.LargeBinaryArray) -> bytes:
+    """All values of an array that begins at its buffer's start, joined."""
+    if not len(tokens):
+        return b""
+    _, offsets, data = tokens.buffers()
+    end = int(np.frombuffer(offsets, np.int64, 1, 8 * len(tokens))[0])
+    return data.slice(0, end).to_pybytes()
 
 
 _coders: dict[tuple, TreeBpe] = {}
@@ -185,7 +200,10 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for given in batches:
             for at in range(0, given.num_rows, ROWS):
                 some = given.slice(at, ROWS)
-                made = [decoded(ids or []) for ids in some.column(1).to_pylist()]
+                lists = some.column(1)
+                ids = lists.values.to_numpy(zero_copy_only=False)
+                ends = lists.offsets.to_numpy().tolist()
+                made = [decoded(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1).cast(_ENCODED.field(1).type), pa.array(made, pa.binary())],
                     schema=_DECODED)
