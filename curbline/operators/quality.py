@@ -1,7 +1,7 @@
 """Data-quality checks: one aggregate pass per frame, results as rows.
 
-All row-level checks of a suite share a single aggregation. Uniqueness and
-reference checks need their own shuffle and count per key before it.
+All row-level checks of a suite share a single aggregation, and so do references to a
+small parent. Uniqueness and other reference checks need their own shuffle and count per key before it.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.numeric import exact_avg
 from curbline.functions.trip import text_list
+from curbline.operators.joins import dim_join, small_enough
 from curbline.schema import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_differences
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
@@ -100,9 +101,16 @@ def _bad(check: Check) -> str:
         return f"{c} not in ({_literals(check.values)})"
     if check.kind == "in_month":
         return f"trunc({c}, 'month') <> date '{check.month}'"
+    if check.kind == "relationship":
+        return f"{c} is not null and `{_flag(check.column)}` is null"
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def _flag(key: str) -> str:
+    """The column that is true in rows whose ``key`` has a parent."""
+    return f"_known_{key}"
+
+
 def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One result row per check, over every row of the frame, in one job.
 
@@ -135,10 +143,11 @@ def _result(i: int, check: Check) -> str:
         percent = f"case when {base} > 0 then {bad} * 100D / {base} end"
         success = f"coalesce(try_divide({base} - {bad}, {base}) >= {check.mostly}D, true)"
     column = f"'{check.column}'" if check.column else "cast(null as string)"
+    rows = f"known_{i}" if check.kind == "relationship" else "all_rows"
     return (
         f"named_struct('check_id', '{check.check_id}', 'check_type', '{check.kind}', "
         f"'column_name', {column}, 'severity', '{check.severity}', 'success', {success}, "
-        f"'observed_value', {observed}, 'element_count', all_rows, 'unexpected_count', {bad}, "
+        f"'observed_value', {observed}, 'element_count', {rows}, 'unexpected_count', {bad}, "
         f"'unexpected_percent', {percent})"
     )
 
@@ -383,16 +392,27 @@ def constrained_columns(table: str) -> list[str]:
 
 
 def run_constraints(table: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Every constraint of a mart as result rows: one shared pass, plus one pass per key check.
+    """Every constraint of a mart as result rows: one shared pass, plus one pass for each unique key.
 
-    Hand it a written table: a lazy frame would be computed again for each pass.
+    References to a parent whose keys are measured small are looked up within the shared pass; one to a
+    larger parent takes a pass of its own, which counts rows per key before the join. Hand it a
+    written table: a lazy frame would be computed again for each pass.
     """
     c = MART_CONSTRAINTS[table]
-    frames = [run_suite(df, constraint_checks(table))]
+    checks, shared, apart = list(constraint_checks(table)), df, []
+    small: dict[tuple[str, str], bool] = {}
+    for key, parent in c.references.items():
+        known = (parents or {})[parent[0]].selectExpr(f"{parent[1]} as {key}", f"true as {_flag(key)}").distinct()
+        if parent not in small:
+            small[parent] = small_enough(known)
+        if small[parent]:
+            shared = dim_join(shared, known, key, small=True)
+            checks.append(Check(f"{table}.{key}.relationship", "relationship", key))
+        else:
+            apart.append(check_reference(df, key, (parents or {})[parent[0]], parent[1], f"{table}.{key}.relationship"))
+    frames = [run_suite(shared, checks)]
     frames += [check_unique(df, [k], f"{table}.{k}.unique") for k in c.unique]
-    for key, (parent, parent_key) in c.references.items():
-        frames.append(check_reference(df, key, (parents or {})[parent], parent_key,
-                                      f"{table}.{key}.relationship"))
+    frames += apart
     return union_results(frames)
 
 

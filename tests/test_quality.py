@@ -62,6 +62,23 @@ def test_unique_and_reference_on_a_hot_key(spark):
     assert [tuple(r) for r in q.duplicate_keys(child, ["k"]).collect()] == [(7, 500)]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_references_to_a_small_and_a_large_parent(spark, monkeypatch, small):
+    monkeypatch.setattr(q, "small_enough", lambda keys: small)
+    monkeypatch.setitem(q.MART_CONSTRAINTS, "child", q.TableConstraints(
+        not_null=("k",), references={"k": ("parent", "id"), "j": ("parent", "id")}))
+    child = spark.createDataFrame([(7, 1)] * 500 + [(i, None) for i in range(5)] + [(None, 9)], "k int, j long")
+    parent = spark.createDataFrame([(i,) for i in range(5)] * 2 + [(None,)], "id int")
+    got = {r.check_id: r for r in q.run_constraints("child", child, {"parent": parent}).collect()}
+    assert sorted(got) == ["child.j.relationship", "child.k.not_null", "child.k.relationship"]
+    k, j = got["child.k.relationship"], got["child.j.relationship"]
+    assert (k.check_type, k.success, k.unexpected_count, k.element_count) == ("relationship", False, 500, 505)
+    assert (j.success, j.unexpected_count, j.element_count, j.observed_value) == (False, 1, 501, None)
+    assert got["child.k.not_null"].element_count == 506
+    none = q.run_constraints("child", child.limit(0), {"parent": parent.limit(0)}).collect()
+    assert all(r.success and r.unexpected_percent is None for r in none)
+
+
 def feed(spark, rows, nulls=0):
     one = "timestamp'2023-01-01' as tpep_pickup_datetime, timestamp'2023-01-01' as tpep_dropoff_datetime, " \
           "1 as trip_distance, 1 as PULocationID, 1 as DOLocationID, 1 as fare_amount, 1 as total_amount, " \
