@@ -48,6 +48,28 @@ def exact_avg(x: str, over: str = "") -> str:
     return f"({exact_sum(x, over)}) / nullif(count({x}){window}, 0)"
 
 
+def exact_avg_of_two(x: str, over_x: str, y: str, over_y: str) -> tuple[list[str], str]:
+    """Mean of the non-NULL values of two window sums that share no row: the columns to select, and the mean of them.
+
+    The values are those of :func:`exact_avg` over all rows at once. Totals are added with a digit to spare;
+    from 1e25 on, the last of the twelve decimal places may be rounded.
+    """
+    columns = []
+    for part, value, over in (("1", x, over_x), ("2", y, over_y)):
+        held = f"try_cast({value} as {ACCUMULATOR})"
+        columns += [
+            f"count({value}) over ({over}) as _n{part}",
+            f"coalesce(max({value} is not null and {held} is null) over ({over}), false) as _odd{part}",
+            f"coalesce(sum(cast({value} as double)) over ({over}), 0D) as _plain{part}",
+            f"try_sum({held}) over ({over}) as _held{part}",
+        ]
+    one, two = (f"case when _n{i} = 0 then cast(0 as {ACCUMULATOR}) else _held{i} end" for i in "12")
+    spare = "decimal(37, 12)"
+    total = (f"coalesce(cast(try_cast({one} as {spare}) + try_cast({two} as {spare}) as double), "
+             f"cast(try_add({one}, {two}) as double), _plain1 + _plain2)")
+    return columns, f"(case when _odd1 or _odd2 then _plain1 + _plain2 else {total} end) / nullif(_n1 + _n2, 0)"
+
+
 def ratio_if_positive(num: str, den: str) -> str:
     """num / den where den > 0, else NULL."""
     return f"case when {den} > 0 then {num} / {den} end"

@@ -1,6 +1,7 @@
 """Publication, mergeable state, refined quantiles, sliced windows and footers on odd rows, and their plans."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -188,6 +189,27 @@ def test_a_hot_key_is_spread_over_slices(spark):
     assert per_slice <= 60 and rolled.count() == 10_000
 
 
+def test_the_work_of_a_row_does_not_grow_with_its_window(spark):
+    """120,000 rows of one key in one window: 7.2 billion steps where every row adds up its window again."""
+    df = spark.range(120_000).selectExpr("1 as k", "timestamp_millis(id) as t", "cast(id % 7 as double) as v")
+    began = time.monotonic()
+    rolled = slices.sliced_rolling_mean(df, ["k"], "t", "v", "mean", 3600)
+    got = rolled.agg(F.count("mean").alias("n"), F.max_by("mean", "t").alias("last")).first()
+    assert time.monotonic() - began < 60
+    assert got.n == 120_000 and got["last"] == pytest.approx(sum(i % 7 for i in range(120_000)) / 120_000, abs=1e-12)
+
+
+def test_sliced_means_of_values_beyond_the_accumulator(spark):
+    values = [1.0, float("nan"), 2.0, float("inf"), 3.0, -float("inf"), 4.0, 1e300, 5.0, 9e25, 9e25, None, 6.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double").selectExpr(
+        "i", "timestamp_seconds(i * 40) as t", "v")
+    for seconds in (20, 60, 100):
+        got = {r.i: r["mean"] for r in slices.sliced_rolling_mean(df, [], "t", "v", "mean", seconds).collect()}
+        for i in range(len(values)):
+            own = [v for j, v in enumerate(values[:i + 1]) if (i - j) * 40 <= seconds and v is not None]
+            assert got[i] == (pytest.approx(sum(own) / len(own), nan_ok=True) if own else None)
+
+
 # ---- footers -----------------------------------------------------------------
 
 def test_footers_answer_without_reading_columns(spark, sf):
