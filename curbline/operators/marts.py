@@ -11,7 +11,7 @@ from curbline.functions import calendar as cal
 from curbline.functions import trip as ft
 from curbline.functions.numeric import exact_avg, exact_sum, round_to
 from curbline.operators.joins import dim_join
-from curbline.operators.ordinal import add_ordinal
+from curbline.operators.ordinal import add_ordinal, add_ordinal_by
 from curbline.sources.readers import payment_types, rate_codes
 
 NATURAL_KEY = ("pickup_at", "dropoff_at", "pickup_location_id", "dropoff_location_id", "fare_amount",
@@ -85,14 +85,26 @@ def union_staged(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+COPY_ORDER = ("total_amount", "tip_amount")
+
+
+def numbered_by_day(trips: DataFrame) -> tuple[DataFrame, bool]:
+    """Trips with a running number among the copies of their natural key, and whether they are dealt by day."""
+    return add_ordinal_by(trips, NATURAL_KEY, COPY_ORDER, "_ordinal", ["pickup_date"])
+
+
+def keyed_trips(numbered: DataFrame) -> DataFrame:
+    """Numbered trips with their surrogate key in place of the number."""
+    kept = [c for c in numbered.columns if c != "_ordinal"]
+    return numbered.selectExpr(*kept, f"{ft.natural_key_hash(NATURAL_KEY, '_ordinal')} as trip_id")
+
+
 def with_trip_key(trips: DataFrame) -> DataFrame:
     """Surrogate key over the natural key and a running number among its copies.
 
     Copies keep their rows; the number only tells their keys apart.
     """
-    numbered = add_ordinal(trips, NATURAL_KEY, ("total_amount", "tip_amount"), "_ordinal")
-    kept = [c for c in numbered.columns if c != "_ordinal"]
-    return numbered.selectExpr(*kept, f"{ft.natural_key_hash(NATURAL_KEY, '_ordinal')} as trip_id")
+    return keyed_trips(add_ordinal(trips, NATURAL_KEY, COPY_ORDER, "_ordinal"))
 
 
 def fact_trips(trips: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from curbline.session import scratch_path
 
 # Rows per slice of the sorted table; one task numbers one slice of a group.
 SLICE_ROWS = 1_000_000
+# Groups are counted together by the hash of their keys; what is counted per task is this small table.
+BUCKETS = 65_536
 
 
 def _same_key(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -25,18 +27,52 @@ def add_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
                 slices: int | None = None) -> DataFrame:
     """Number the rows of each group 1..n (a long) by ``order``, then by the other columns.
 
-    No row is dropped and no group meets in one task. The rows are sorted by
-    range into slices, which cut a large group wherever its order asks for it;
-    rows are numbered per group and slice, and a group that lies in several
-    slices is shifted by the counts of the earlier ones. Equal rows are told
-    apart by a task number and a count within that task, so that copies can be
-    cut as well. Builds one table in the shared scratch folder: both later steps
-    must see the same cuts. ``slices`` follows from a count unless it is given.
+    No row is dropped and no large group meets in one task. Rows are first counted per bucket of the keys'
+    hash. A bucket of at most ``SLICE_ROWS`` rows holds no larger group: its rows are numbered by one window, which
+    costs one shuffle. The rows of the other buckets, of which there are fewer than one per ``SLICE_ROWS`` rows, are
+    numbered by slices.
+    ``slices`` sets a number of slices for all rows instead.
+    """
+    if slices is not None:
+        return _by_slices(df, keys, order, name, slices)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    crowded = {r["bucket"]: r["n"] for r in df.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") > SLICE_ROWS).collect()}
+    if not crowded:
+        return _by_group(df, keys, order, name)
+    among = bucket.isin(list(crowded))
+    slices = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(sum(crowded.values()) / SLICE_ROWS))
+    return _by_group(df.where(~among), keys, order, name).unionByName(
+        _by_slices(df.where(among), keys, order, name, slices))
+
+
+def add_ordinal_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
+                   by: Sequence[str]) -> tuple[DataFrame, bool]:
+    """The same number, and whether rows are dealt by ``by``, columns that follow from the keys.
+
+    They are while no value of ``by`` holds more than ``SLICE_ROWS`` rows; a write into directories of ``by``
+    then needs no shuffle of its own.
+    """
+    per_value = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    if (per_value.agg(F.max("n")).first()[0] or 0) > SLICE_ROWS:
+        return add_ordinal(df, keys, order, name), False
+    return _by_group(df.repartition(*by), [*by, *keys], order, name), True
+
+
+def _by_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
+    return df.select("*", number.cast("long").alias(name))
+
+
+def _by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int) -> DataFrame:
+    """The rows are sorted by range into slices, which cut a large group wherever its order asks for it;
+    rows are numbered per group and slice, and a group that lies in several slices is shifted by the counts of the
+    earlier ones. Equal rows are told apart by a task number and a count within that task, so that copies can be
+    cut as well. Builds one table in the shared scratch folder: both later steps must see the same cuts.
     """
     spark, columns = df.sparkSession, df.columns
     rest = [c for c in columns if c not in keys and c not in order]
-    if slices is None:
-        slices = max(spark.sparkContext.defaultParallelism, math.ceil(df.count() / SLICE_ROWS))
     # Folding within a task gives every copy a number that a repeated task gives again.
     counted = df.withColumn("_task", F.spark_partition_id()).groupBy(*columns, "_task").agg(
         F.count(F.lit(1)).alias("_copies"))

@@ -42,7 +42,8 @@ def refresh_fact(feeds: Mapping[str, DataFrame], path: str, as_of: date | str |
 
     The look-back is put on the staged rows, before they are keyed: copies share
     their pickup time, so whole groups are in or out and keys do not change.
-    Late rows are picked up because their days are computed again as a whole.
+    Late rows are picked up because their days are computed again as a whole. Trips are numbered where they
+    are dealt to their days; what follows from a trip alone, its key and measures, is worked out behind that shuffle.
     """
     trips = staged(feeds)
     if not full:
@@ -50,7 +51,9 @@ def refresh_fact(feeds: Mapping[str, DataFrame], path: str, as_of: date | str |
         if until is None:
             return
         trips = since(trips, "pickup_at", until, days)
-    insert_overwrite(marts.fact_trips(marts.with_trip_key(trips)), path, ["pickup_date"], contract)
+    numbered, dealt = marts.numbered_by_day(trips)
+    insert_overwrite(numbered, path, ["pickup_date"], contract, dealt=dealt,
+                     behind=lambda rows: marts.fact_trips(marts.keyed_trips(rows)))
 
 
 def refresh_mart(fact_table: DataFrame, zones: DataFrame, path: str, as_of: date | str | None = None,

@@ -9,7 +9,7 @@ mends. The setting is passed per write, never set on the session.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -94,14 +94,22 @@ def replace_partition(df: DataFrame, path: str, where: Mapping[str, int | str],
     return written
 
 
-def insert_overwrite(df: DataFrame, path: str, keys: Sequence[str],
-                     contract: T.StructType | None = None, fmt: str = "parquet") -> None:
-    """Replace the partitions present in the batch; every other one stays."""
-    check_evolution(df, path, contract)
+def insert_overwrite(df: DataFrame, path: str, keys: Sequence[str], contract: T.StructType | None = None,
+                     fmt: str = "parquet", dealt: bool = False,
+                     behind: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replace the partitions present in the batch; every other one stays.
+
+    ``dealt`` tells that no partition lies in several tasks, so that no shuffle is added. ``behind`` is applied to
+    the rows once they are dealt, so that columns it adds do not cross the shuffle; it must keep each row and its keys.
+    """
+    rows = df if dealt else df.hint("rebalance", *keys)
+    if behind:
+        rows = behind(rows)
+    check_evolution(rows, path, contract)
     with settings(df.sparkSession, _BY_FILE):
         (
-            df.hint("rebalance", *keys)
-            .write.format(fmt).mode("overwrite")
+            rows.write.format(fmt).mode("overwrite")
+            .options(**({"compression": "zstd"} if fmt == "parquet" else {}))
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*keys)
             .save(path)

@@ -34,6 +34,34 @@ def test_slices_equal_plain_window(spark, slices):
     assert counted(made) == counted(plain)
 
 
+def test_only_crowded_groups_go_by_slices(spark, monkeypatch):
+    df = frame(spark)
+    plain = df.withColumn("ordinal", F.row_number().over(
+        Window.partitionBy("k").orderBy("total", "tip", "rest")).cast("long"))
+    cut, sliced = ordinal._by_slices, []
+    monkeypatch.setattr(ordinal, "_by_slices", lambda d, *a: sliced.append(d.count()) or cut(d, *a))
+    whole = ordinal.add_ordinal(df, ["k"], ["total", "tip"])
+    assert counted(whole) == counted(plain) and not sliced
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(ordinal, "SLICE_ROWS", 250)
+    made = ordinal.add_ordinal(df, ["k"], ["total", "tip"])
+    assert dict(made.dtypes)["ordinal"] == "bigint" and counted(made) == counted(plain)
+    assert sliced == [2300]
+
+
+def test_numbers_dealt_by_a_part_of_the_key(spark, monkeypatch):
+    df = frame(spark).withColumn("first", F.substring("k", 1, 1))
+    plain = df.withColumn("ordinal", F.row_number().over(
+        Window.partitionBy("k").orderBy("total", "tip", "rest")).cast("long"))
+    for limit, dealt in ((10_000, True), (2000, False)):
+        monkeypatch.setattr(ordinal, "SLICE_ROWS", limit)
+        made, told = ordinal.add_ordinal_by(df, ["k"], ["total", "tip"], "ordinal", ["first"])
+        assert told == dealt and counted(made) == counted(plain)
+        if dealt:
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(first") == plan.count("Exchange hashpartitioning") == 1
+
+
 def test_copies_of_one_row_are_cut(spark):
     df = spark.createDataFrame([("a", 1)] * 100 + [("a", 2)] * 50, "k string, v int").repartition(3)
     out = ordinal.add_ordinal(df, ["k"], ["v"], slices=7)
