@@ -530,9 +530,19 @@ def declared_silver(spark, sf):
         F.count(F.lit(1)).alias("trips"))
 
 
+def _landed(spark, feeds):
+    """The feeds written once, as they lie in a lake: every later pass scans them instead of building them again."""
+    out = {}
+    for feed, df in feeds.items():
+        path = scratch_path(spark, f"landed-{feed}")
+        df.write.option("compression", "zstd").parquet(path)
+        out[feed] = spark.read.schema(df.schema).parquet(path)
+    return out
+
+
 def _late_feeds(spark, sf):
     """The feeds without some of the last days' rows, and whole."""
-    whole = typed(spark, sf)
+    whole = _landed(spark, typed(spark, sf))
     newest = incremental.latest_day(warehouse.staged(whole), "pickup_date")
     early = {f: df.where(f"not (pickup_datetime >= date_sub(date '{newest}', 2) and PULocationID % 3 = 0)")
              for f, df in whole.items()}
@@ -781,7 +791,7 @@ def dq_constraints_location(spark, sf):
     *ad.KEYED_FACT, *ad.LOCATIONS, final=_constraint_sql("fact_trips", "fact")))
 def dq_constraints_fact(spark, sf):
     path = scratch_path(spark, "fact")
-    mart_fact(spark, sf).select(*quality.constrained_columns("fact_trips")).write.parquet(path)
+    mart_fact(spark, sf).select(*quality.constrained_columns("fact_trips")).write.option("compression", "zstd").parquet(path)
     return quality.run_constraints(
         "fact_trips", spark.read.parquet(path), {"dim_location": locations(spark, sf)}
     )
