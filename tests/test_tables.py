@@ -9,7 +9,7 @@ from curbline.plans import checking, monthly, warehouse
 from curbline.session import shared_folder
 from curbline.sources import catalog, readers, sinks, spines
 from curbline.streaming import landing
-from curbline.workload import catalogue
+from curbline.workload import adapter, catalogue
 
 
 def months(spark, rows):
@@ -223,6 +223,21 @@ def test_mart_refresh_rewrites_recent_days_only(spark, sf, tmp_path):
     assert spark.read.schema(schema).parquet(path).count() == len(before)
 
 
+def test_refreshed_fact_equals_the_lazy_one_and_lies_in_one_file_a_day(spark, sf, tmp_path):
+    feeds = catalogue.typed(spark, sf)
+    want = warehouse.fact(feeds)
+    warehouse.refresh_fact(feeds, str(tmp_path), full=True, contract=want.schema)
+    got = spark.read.schema(want.schema).parquet(str(tmp_path)).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert max(len(list(day.glob("*.parquet"))) for day in tmp_path.glob("pickup_date=*")) == 1
+
+
+def test_join_of_lines_holds_the_rows_of_a_task(spark, sf, monkeypatch):
+    monkeypatch.setattr(adapter, "ROWS_PER_TASK", 700)
+    plan = catalogue.both(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey#" in plan and f", {-(-adapter.table(spark, sf, 'lineitem').count() // 700)})" in plan
+
+
 def test_look_back_reaches_the_scan_below_the_window(spark, sf, tmp_path):
     for feed, df in catalogue.typed(spark, sf).items():
         df.write.parquet(f"{tmp_path}/{feed}")
