@@ -1,10 +1,11 @@
-"""Near dedup of a corpus by the share of common shingles, found by MinHash bands and verified exactly.
+"""Near dedup of a corpus by the share of common shingles, found by SimHash balls and MinHash bands and verified exactly.
 
 A text (null: empty) is the set of its runs of ``words`` words, cut as in ``simhash``; texts whose sets
-have a Jaccard similarity of ``similarity`` or more are near copies. Fingerprints of near copies differ
-in too many of 64 bits for ball hashing, so candidates are texts that agree in one of ``BANDS``
-keys of ``ROWS`` MinHash values each. A pair at 0.8 is missed by all keys with probability 6e-5, a
-closer one more rarely; no key, text or pair is left out beyond that.
+have a Jaccard similarity of ``similarity`` or more are near copies. Candidates are texts whose fingerprints over
+these shingles lie within three bits, found by meet-in-the-middle ball hashing as in ``simhash``. Fingerprints of most
+near copies differ in more bits, so texts that agree in one of ``BANDS`` keys of ``ROWS`` MinHash values each are
+candidates as well. A pair at 0.8 is missed by all keys with probability 6e-5, a closer one more rarely; no key,
+text or pair is left out beyond that.
 
 Equal sets are collapsed first. Then every text of a key is compared with one of them, which joins a
 large group without looking at its pairs. Texts of keys that hold several groups after that go through an exact
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import batch, byte_values, fresh, rows_kept, with_row, written
 from curbline.llm.components import components
-from curbline.llm.simhash import shingle_hashes
+from curbline.llm.simhash import links as fingerprint_links
+from curbline.llm.simhash import majority, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
@@ -39,7 +41,7 @@ _random = np.random.default_rng(8)
 _XOR = _random.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64)
 _FACTOR = _random.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("same", pa.binary()), ("size", pa.int32()),
-                     ("keys", pa.list_(pa.int64()))])
+                     ("keys", pa.list_(pa.int64())), ("print", pa.int64())])
 _SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 _SHINGLE = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -68,14 +70,18 @@ def band_keys(shingles: np.ndarray) -> list[int]:
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
-    """From (doc_id, node, text): doc_id, node, digest of the set, its size and its keys."""
+    """From (doc_id, node, text): doc_id, node, digest of the set, its size, its keys and the text's fingerprint."""
     def run(batches):
         for given in batches:
-            sets = [shingle_set(t, words) for t in byte_values(given.column(2))]
+            sets, prints = [], []
+            for text in byte_values(given.column(2)):
+                hashes = shingle_hashes(text, words)
+                sets.append(np.unique(hashes))
+                prints.append(majority(hashes))
             yield batch(_SKETCH, given.column(0), given.column(1), [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                        [len(s) for s in sets], [band_keys(s) for s in sets])
+                        [len(s) for s in sets], [band_keys(s) for s in sets], np.array(prints, np.uint64).view(np.int64))
 
-    return texts.mapInArrow(run, "doc_id bigint, node bigint, same binary, size int, keys array<bigint>")
+    return texts.mapInArrow(run, "doc_id bigint, node bigint, same binary, size int, keys array<bigint>, print bigint")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -154,8 +160,22 @@ def meeting(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         (F.col("low") == F.col("high")) | (F.col("own") != F.col("own_b")))).select(*columns).distinct()
 
 
+def ball_pairs(sets_of: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ``sets_of`` (node, size, print) that connect fingerprints within three bits of each other, as far
+    as sizes allow the similarity; texts of one fingerprint are paired with one of them."""
+    prints = written(sets_of.groupBy("print").agg(F.min(F.struct("node", "size")).alias("first")).select(
+        F.col("print").alias("fp"), F.col("first.node").alias("first"), F.col("first.size").alias("first_size")), "prints")
+    columns, fits = _pair(similarity, "node", "first", "size", "first_size")
+    edges = fingerprint_links(prints.select("fp"))
+    one = prints.select(F.col("fp").alias("a"), F.col("first").alias("node"), F.col("first_size").alias("size"))
+    between = edges.join(one, "a").join(prints.withColumnRenamed("fp", "b"), "b").select("node", "size", "first", "first_size")
+    equal = sets_of.join(prints, F.col("print") == F.col("fp")).where(F.col("node") != F.col("first"))
+    return written(between.unionByName(equal.select(*between.columns)).where(fits).select(*columns).distinct(), "balls")
+
+
 def links(sets_of: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Edges (a, b) that connect similar sets; ``sets_of`` has (node, size, keys), ``texts`` (node, text)."""
+    """Edges (a, b) that connect similar sets; ``sets_of`` has (node, size, keys, print), ``texts`` (node, text)."""
+    balls = ball_pairs(sets_of.select("node", "size", "print"), similarity)
     keyed = sets_of.select("node", "size", F.explode("keys").alias("key"))
     # A key's leader differs from key to key, as its texts are ordered anew.
     leader = F.min(F.struct(F.xxhash64("key", "node").alias("order"), "node", "size")).alias("leader")
@@ -163,10 +183,11 @@ def links(sets_of: DataFrame, texts: DataFrame, words: int, similarity: float) -
     leaders = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), leader).where("n > 1").select(
         "key", F.col("leader.node").alias("first"), F.col("leader.size").alias("first_size")), "leaders")
     shared = written(keyed.join(leaders, "key"), "shared")
-    sets = written(_sets(rows_kept(texts, shared.select("node").distinct(), "node"), words), "shingles")
+    compared = shared.select("node").union(balls.select("a")).union(balls.select("b")).distinct()
+    sets = written(_sets(rows_kept(texts, compared, "node"), words), "shingles")
 
     columns, fits = _pair(similarity, "node", "first", "size", "first_size")
-    stars = written(shared.where((F.col("node") != F.col("first")) & fits).select(*columns).distinct(), "stars")
+    stars = written(shared.where((F.col("node") != F.col("first")) & fits).select(*columns).unionByName(balls).distinct(), "stars")
     found = written(_verified(stars, sets, similarity), "star-links")
 
     groups = shared.select("key", "node", "size").join(components(found, "a", "b"), "node", "left").withColumn(
@@ -190,9 +211,10 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     sketches = written(_sketches(texts, words), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("node"))
     distinct = written(sketches.groupBy("same").agg(
-        F.min(order).alias("least"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys")).select(
-        F.col("least.node").alias("node"), "least", "size", "keys"), "distinct")
-    joined = components(links(distinct.select("node", "size", "keys"), texts.select("node", "text"), words,
+        F.min(order).alias("least"), F.any_value("size").alias("size"), F.any_value("keys").alias("keys"),
+        F.min("print").alias("print")).select(
+        F.col("least.node").alias("node"), "least", "size", "keys", "print"), "distinct")
+    joined = components(links(distinct.select("node", "size", "keys", "print"), texts.select("node", "text"), words,
                               similarity), "a", "b")
     labelled = distinct.select("node", "least").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

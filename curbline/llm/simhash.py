@@ -59,7 +59,11 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
     """The 64-bit fingerprint as an unsigned int."""
-    hashes = shingle_hashes(text, words)
+    return majority(shingle_hashes(text, words))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half the hashes set."""
     n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 4096):

@@ -79,3 +79,18 @@ def test_prefix_filter_compares_few_texts_of_a_group_with_edits_of_their_own(spa
         assert near and near <= met
         found[n] = len(met - near)
     assert found[200] <= 200 and found[200] <= 3 * found[100] + 20
+
+
+def test_ball_pairs_connect_what_lies_within_three_bits(spark):
+    pick = random.Random(4)
+    prints = []
+    for _ in range(12):
+        prints += [pick.getrandbits(63)]
+        for _ in range(8):
+            prints.append(prints[-1] ^ sum(1 << b for b in pick.sample(range(63), pick.choice([0, 1, 2, 3, 3, 4, 6]))))
+    rows = [(i, 100, p) for i, p in enumerate(prints)] + [(1000, 50, prints[0])]
+    met = {(r["a"], r["b"]) for r in resemblance.ball_pairs(
+        spark.createDataFrame(rows, "node long, size int, print long"), 0.8).collect()}
+    n = len(prints)
+    near = {(a, b) for b in range(n) for a in range(b) if (prints[a] ^ prints[b]).bit_count() <= 3}
+    assert met <= near and reach(n, met) == reach(n, near)
