@@ -9,7 +9,8 @@ from curbline.llm import (
     bpe, chunking, clustering, embeddings, exact, language, negatives, packing, pseudonyms, secrets, simhash, suffixes,
     urls,
 )
-from curbline.llm.common import table
+from curbline.llm.common import table, written
+from curbline.session import settings
 
 KEY = b"documents"
 
@@ -26,9 +27,12 @@ def op2_url_filter(spark, sf):
 def op3_bpe_round_trip(spark, sf):
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bpe.decode(bpe.encode(table(spark, sf, "documents"), path, pattern), path, pattern)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    digests = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                           F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                           F.sha2("decoded", 256).alias("decoded_sha256"))
+    # A task holds four batches at once, texts, ids twice and bytes; by default a batch is 10,000 documents.
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(bpe.ROWS)}):
+        return written(digests, "round-trip")
 
 
 def op4_chunk_dedup(spark, sf):

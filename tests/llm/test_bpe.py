@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from curbline.llm import bpe, packing, words
+from curbline.llm import bpe, common, packing, queries, words
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -139,3 +139,12 @@ def test_full_sequences(documents):
     assert all(len(r["ids"]) == 4096 for r in made)
     tail = np.frombuffer(bytes(made[-1]["ids"]), "<u4")
     assert (tail[made[-1]["n_tokens"]:] == 9).all()
+
+
+def test_round_trip_runs_in_small_batches(spark, documents, tmp_path, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "written", lambda df, label: seen.append(spark.conf.get(name)) or common.written(df, label))
+    before = spark.conf.get(name)
+    assert queries.op3_bpe_round_trip(spark, str(tmp_path)).count() == documents.count()
+    assert seen == [str(bpe.ROWS)] and spark.conf.get(name) == before
