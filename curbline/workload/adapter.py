@@ -84,7 +84,8 @@ def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     else:
         lines = lines.repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders")
-    cents = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+    # Orders grow with the lines: where one column is read they look small enough to broadcast, and every task would hold them.
+    cents = lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
         "*",
         "cast(rint(l_extendedprice * 100) as bigint) as price_cents",
         "cast(rint(l_extendedprice * 100) as bigint) div 500 as fare_cents",

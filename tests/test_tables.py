@@ -238,6 +238,11 @@ def test_join_of_lines_holds_the_rows_of_a_task(spark, sf, monkeypatch):
     assert "hashpartitioning(l_orderkey#" in plan and f", {-(-adapter.table(spark, sf, 'lineitem').count() // 700)})" in plan
 
 
+def test_orders_are_not_broadcast_where_one_column_is_read(spark, sf):
+    plan = catalogue.union_evolved(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_orderkey" in plan and "Broadcast" not in plan
+
+
 def test_look_back_reaches_the_scan_below_the_window(spark, sf, tmp_path):
     for feed, df in catalogue.typed(spark, sf).items():
         df.write.parquet(f"{tmp_path}/{feed}")
