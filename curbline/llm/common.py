@@ -21,10 +21,10 @@ def fresh(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

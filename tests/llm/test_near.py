@@ -154,3 +154,73 @@ def test_odd_vectors(spark):
     group = {1, 2, 3, 11, 13}
     assert found == {(i, 5 if i in group else 0, 1 if i in group else i) for i in range(1, 16)}
     assert embeddings.near_groups(df.limit(0)).count() == 0
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+
+
+def test_no_table_or_batch_grows_with_the_meetings(spark, monkeypatch):
+    """The best cells of these vectors leave most meetings open, and none may cost a further copy of a vector."""
+    pick = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in pick.standard_normal(16)], 1) for i in range(2000)]
+    held, write = {}, embeddings.written
+
+    def weighed(df, label, **options):
+        made = write(df, label, **options)
+        sizes = [F.length(c) if kind == "binary" else F.size(c) * 8 for c, kind in made.dtypes
+                 if kind in ("binary", "array<double>")]
+        if sizes:
+            held[label] = made.select(F.sum(sum(sizes))).first()[0]
+        return made
+
+    monkeypatch.setattr(embeddings, "written", weighed)
+    check = embeddings.near_groups(vectors_of(spark, rows), per_cell=20, block=64)
+    assert check.count() == 2000
+    assert held and max(held.values()) <= 2000 * (16 * 8 + 32) * 1.5, held
+
+
+@pytest.mark.parametrize("sizes", [{"per_cell": 16, "block": 24}, {"per_cell": 30, "block": 500}, {"per_cell": 400}])
+def test_embeddings_of_small_labels_lengths_and_widths(spark, sizes):
+    """Labels that share a group, two lengths of one label, floats beside doubles, -0.0, tight and loose groups."""
+    pick = np.random.default_rng(6)
+    made = []
+    for label, n, dim in ((1, 150, 12), (1, 90, 5), (2, 60, 12), *((k, 4, 12) for k in range(3, 20))):
+        base = pick.standard_normal((5, dim))
+        for i in range(n):
+            v = base[i % 5] + (0.02 if i % 2 else 0.3) * pick.standard_normal(dim)
+            made.append((v.astype("f4").astype(float) if i % 3 else v, label))
+    made += [(np.array([0.0, *made[0][0][1:]]), 1), (np.array([-0.0, *made[0][0][1:]]), 1)]
+    rows = [(100 + i, [float(x) for x in v], label) for i, (v, label) in enumerate(made)]
+    check_vectors(vectors_of(spark, rows), **sizes)
+
+
+def test_projections_and_leading_products_lose_no_pair():
+    pick = np.random.default_rng(8)
+    for spread, dim in ((0.05, 24), (0.4, 24), (0.15, 90)):
+        base = pick.standard_normal((12, dim))
+        rows = embeddings.unit(base[pick.integers(0, 12, 900)] + spread * pick.standard_normal((900, dim)))
+        centroids = embeddings.spherical_kmeans(rows, 20)
+        cells = (rows @ centroids.T).argmax(1)
+        layout = embeddings.Layout({}, {}, centroids, embeddings.strongest(rows, 0.93))
+
+        def block(number, of, rows=rows, cells=cells, layout=layout, dim=dim):
+            of = of[cells[of].argsort(kind="stable")]
+            return embeddings.Block({
+                "block": number, "dim": dim, "nodes": of.astype("<i8").tobytes(), "raw": rows[of].tobytes(),
+                "copies": (of % 3 + 1).astype("<i8").tobytes(), "labels": (of % 2).astype("<i4").tobytes(),
+                "cells": cells[of].astype("<i4").tobytes()}, layout)
+
+        x, y = block(1, np.arange(0, 500)), block(2, np.arange(500, 900))
+        near = (rows @ rows.T >= 0.93) & (np.arange(900)[:, None] % 2 == np.arange(900) % 2)
+        np.fill_diagonal(near, False)
+        for a, b, kept in ((x, x, near[:500, :500]), (x, y, near[:500, 500:])):
+            found = embeddings.compare(a, b, layout, 0.93)
+            links = dict(zip(found.column("node").to_pylist(), found.column("links").to_pylist(), strict=True))
+            weight = np.arange(900) % 3 + 1
+            left = kept @ weight[b.nodes[b.nodes.argsort()]]
+            want = {i: int(n) for i, n in enumerate(left) if n}
+            if a is not b:
+                right = kept.T @ weight[:500]
+                want |= {500 + i: int(n) for i, n in enumerate(right) if n}
+            assert links == want and want
