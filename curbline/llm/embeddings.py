@@ -47,9 +47,9 @@ from curbline.llm.components import components
 from curbline.session import settings
 
 #: Rows of a batch that Python gets, and components of a block: both bound what a task holds.
-_ROWS, _ROOM = 1024, 1 << 21
+_ROWS, _ROOM = 1024, 1 << 20
 #: Pairs of a product that are looked at together.
-_TILE, _SPAN = 256, 2048
+_TILE, _SPAN = 256, 1024
 #: Links that are held before they are reduced to a forest.
 _EDGES = 1 << 20
 #: Bytes of blocks that a task of the product holds of either side, and of the groups that meet in one product.
@@ -307,8 +307,9 @@ class Block:
 
     def __init__(self, given: dict, layout: Layout):
         self.number, dim = given["block"], given["dim"]
-        self.nodes, self.copies = (np.frombuffer(given[c], "<i8") for c in ("nodes", "copies"))
-        self.labels = np.frombuffer(given["labels"], "<i4")
+        # Copies, so that a block that is kept for further pairs does not keep all that came with it.
+        self.nodes, self.copies = (np.frombuffer(given[c], "<i8").copy() for c in ("nodes", "copies"))
+        self.labels = np.frombuffer(given["labels"], "<i4").copy()
         raw, n = given["raw"], len(self.nodes)
         floats = len(raw) == 4 * dim * n
         self.rows = (_unit_floats if floats else unit)(np.frombuffer(raw, "<f4" if floats else "<f8").reshape(n, dim))
@@ -359,16 +360,17 @@ class Forest:
         return _roots(np.concatenate(self.a), np.concatenate(self.b), len(self.copies))
 
 
-def _near(x: Block, i: np.ndarray, y: Block, j: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _near(x: Block, i: np.ndarray, y: Block, j: np.ndarray, least: float, lead_x, lead_y, space) -> tuple:
     """Pairs of the rows ``i`` of ``x`` and ``j`` of ``y`` at ``least`` or more, as indices of these."""
     bound = np.float32(least - (x.lead.shape[1] + 8) * 2e-7)
-    upper = x.lead[i] @ y.lead[j].T
+    upper = space[:len(i) * len(j)].reshape(len(i), len(j))
+    np.matmul(lead_x, lead_y.T, out=upper)
     some = np.flatnonzero(upper.max(1) >= bound)
     a, b = np.nonzero(upper[some] >= bound)
     if 4 * len(a) > upper.size:
         return np.nonzero(x.rows[i] @ y.rows[j].T >= least)
     a = some[a]
-    step = max(1, _ROOM // x.rows.shape[1])
+    step = max(1, (_ROOM >> 2) // x.rows.shape[1])
     sure = [np.einsum("ij,ij->i", x.rows[i[a[at:at + step]]], y.rows[j[b[at:at + step]]]) >= least
             for at in range(0, len(a), step)]
     keep = np.concatenate([np.empty(0, bool), *sure])
@@ -376,7 +378,8 @@ def _near(x: Block, i: np.ndarray, y: Block, j: np.ndarray, least: float) -> tup
 
 
 def meetings(x: Block, y: Block, layout: Layout, least: float):
-    """The pairs of rows that could be in reach, as rows of ``x`` and rows of ``y``, at most a tile at once."""
+    """The pairs of rows that could be in reach, as rows of ``x`` and of ``y``, their leading parts, and whether
+    both are the same cell; at most a tile at once."""
     reach = chord(least)
     cells = sorted({c for c, _ in [*x.cells, *y.cells] if c >= 0})
     to = layout.centroids[cells]
@@ -400,12 +403,14 @@ def meetings(x: Block, y: Block, layout: Layout, least: float):
             else:
                 i, j = np.arange(own.start, own.stop), np.arange(other.start, other.stop)
                 from_x, from_y = np.zeros(len(i)), np.zeros(len(j))
+            lead_x, lead_y = x.lead[i], y.lead[j]
             for at in range(0, len(i), _TILE):
                 end = int(np.searchsorted(from_y, reach - from_x[at], "right"))
                 if not end:
                     break
                 for start in range(at if twice else 0, end, _SPAN):
-                    yield i[at:at + _TILE], j[start:min(start + _SPAN, end)], twice
+                    stop = min(start + _SPAN, end)
+                    yield i[at:at + _TILE], j[start:stop], lead_x[at:at + _TILE], lead_y[start:stop], twice
 
 
 def compare(x: Block, y: Block, layout: Layout, least: float) -> pa.RecordBatch | None:
@@ -413,8 +418,9 @@ def compare(x: Block, y: Block, layout: Layout, least: float) -> pa.RecordBatch
     same = x is y
     nodes = x.nodes if same else np.r_[x.nodes, y.nodes]
     forest = Forest(x.copies if same else np.r_[x.copies, y.copies])
-    for i, j, twice in meetings(x, y, layout, least):
-        a, b = _near(x, i, y, j, least)
+    space = np.empty(_TILE * _SPAN, np.float32)
+    for i, j, lead_x, lead_y, twice in meetings(x, y, layout, least):
+        a, b = _near(x, i, y, j, least, lead_x, lead_y, space)
         a, b = i[a], j[b]
         if len(a):
             keep = x.labels[a] == y.labels[b]
@@ -433,8 +439,9 @@ def _compared(layout: Layout, least: float):
     def run(batches):
         x = None
         for given in batches:
-            values = [given.column(i).to_pylist() for i in range(given.num_columns)]
-            for row in zip(*values, strict=True):
+            for n in range(given.num_rows):
+                # Bytes stay where they were received.
+                row = [c[n].as_buffer() if pa.types.is_binary(c.type) else c[n].as_py() for c in given.columns]
                 sides = [dict(zip(_BLOCK, row[at:], strict=False)) for at in range(0, len(row), len(_BLOCK))]
                 if x is None or x.number != sides[0]["block"]:
                     x = Block(sides[0], layout)
@@ -483,7 +490,7 @@ def _links(packed: DataFrame, layout: Layout, least: float) -> DataFrame:
 
 
 def near_groups(vectors: DataFrame, least: float = 0.93, per_cell: int = 2048, fit_rows: int = 8192,
-                max_cells: int = 1024, block: int = 32768) -> DataFrame:
+                max_cells: int = 1024, block: int = 16384) -> DataFrame:
     """One row per vector: vec_id, row, n_links, component_id, kept."""
     spark = vectors.sparkSession
     embedding = F.col("embedding")
